@@ -292,8 +292,9 @@ SEARCH = {
 oracle(
     "attach_metadata",
     """select query_id, ref_id, rank, Compound_Name as compound_name, Adduct as adduct, ExactMass as exactmass,
-    cast(case when parsed.k is null then null else 3 end as int) as n_keys
-    from best left join parsed on ref_id = spectrum_id where rank <= 10""",
+    cast(case when stored.k is null then null else 3 end as int) as n_keys
+    from best left join stored on ref_id = stored.spectrum_id where rank <= 10""",
+    stored="select * from parsed where k in (select k from clean)",
     **SEARCH,
 )
 

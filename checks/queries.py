@@ -352,7 +352,8 @@ def create_documents(spark, sf):
 
 @query
 def check_n_decimals(spark, sf):
-    both = t.documents(spark, sf, "positive", 2).unionByName(t.documents(spark, sf, "negative", 1))
+    coarse = documents.create_documents(t.spectra(spark, sf, "negative"), 1).select("n_decimals")
+    both = t.documents(spark, sf, "positive").select("n_decimals").unionByName(coarse)
     return documents.decimals_report(both, 2).withColumn("accepted", F.col("accepted").cast("int"))
 
 
@@ -490,14 +491,13 @@ def _embedding_search(spark, sf, **options):
 
 @query
 def attach_metadata(spark, sf):
-    matches = ranking.attach_metadata(
-        _embedding_search(spark, sf), _parsed(spark, sf), ["compound_name", "adduct", "exactmass"]
-    )
+    keys = ["compound_name", "adduct", "exactmass"]
+    matches = _embedding_search(spark, sf, metadata=t.spectra(spark, sf), include_metadata=keys)
     return matches.select(
         "query_id",
         "ref_id",
         "rank",
-        *[F.col("metadata")[k].alias(k) for k in ("compound_name", "adduct", "exactmass")],
+        *[F.col("metadata")[k].alias(k) for k in keys],
         F.size("metadata").alias("n_keys"),
     )
 
@@ -660,9 +660,8 @@ def id_intersection(spark, sf):
 
 @query
 def train_word_vectors(spark, sf):
-    trained = models.train_word_vectors(
-        materialise(t.documents(spark, sf, None, 0), "documents"), vector_size=16, epochs=5
-    )
+    coarse = documents.create_documents(t.spectra(spark, sf), 0).select("words")
+    trained = models.train_word_vectors(coarse, vector_size=16, epochs=5)
     return trained.select("word", F.size("vector").alias("n_dims"))
 
 
@@ -717,24 +716,22 @@ def spec2vec_train(spark, sf):
     return trained.select("word", F.size("vector").alias("n_dims"))
 
 
-def _whole_library(spark, sf):
-    """Every spectrum with its document vector."""
-    spectra = materialise(t.spectra(spark, sf).select("spectrum_id", "precursor_mz", "ion_mode", "peaks"), "spectra")
-    words = materialise(
-        t.word_vectors(documents.word_vocabulary(spectra.transform(documents.create_documents))), "word-vectors"
+def _library_word_vectors(spark, sf):
+    """A vector for every word of the library, stored as a model is."""
+    return t.stored(
+        spark,
+        sf,
+        "word-vectors",
+        lambda: t.word_vectors(documents.word_vocabulary(t.documents(spark, sf))),
     )
-    vectors = spec2vec.embed_spectra(spectra, words, dim=t.WORD_DIM)
-    return materialise(vectors.join(spectra.drop("peaks"), "spectrum_id"), "embeddings")
 
 
 @query
 def spec2vec_index(spark, sf):
-    spectra = materialise(t.spectra(spark, sf).select("spectrum_id", "precursor_mz", "ion_mode", "peaks"), "spectra")
-    words = t.word_vectors(documents.word_vocabulary(spectra.transform(documents.create_documents)))
     indexed = spec2vec.spec2vec_index(
         spark,
-        spectra,
-        words,
+        t.spectra(spark, sf),
+        _library_word_vectors(spark, sf),
         "positive",
         new_path(spark, "library"),
         new_path(spark, "embeddings"),
@@ -745,8 +742,12 @@ def spec2vec_index(spark, sf):
 
 @query
 def spec2vec_search(spark, sf):
-    """The whole library against itself."""
-    vectors = _whole_library(spark, sf)
+    """Every library spectrum embedded and searched in the whole library."""
+    spectra = t.spectra(spark, sf)
+    embedded = spec2vec.embed_spectra(spectra, _library_word_vectors(spark, sf), dim=t.WORD_DIM)
+    vectors = materialise(
+        embedded.join(spectra.select("spectrum_id", "precursor_mz", "ion_mode"), "spectrum_id"), "embeddings"
+    )
     return spec2vec.spec2vec_search(t.query_side(vectors), t.ref_side(vectors), 1.0)
 
 

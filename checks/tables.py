@@ -14,6 +14,7 @@ from specloom.operators.cleaning import process_spectra
 from specloom.operators.documents import create_documents
 from specloom.plans.library import prepare_library
 from specloom.schema import RAW_COLUMNS
+from specloom.session import new_path
 
 WORD_DIM = 16
 
@@ -91,7 +92,29 @@ def peaks(spark, sf_dir) -> DataFrame:
     return rows.groupBy("k").agg(F.expr("sort_array(collect_list(struct(mz, intensity)))").alias("peaks"))
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark, sf_dir, name: str, build) -> DataFrame:
+    """A derived table, written once per application, as a library is in use.
+
+    Operators that look at their input twice (for hot keys, then for the work)
+    then read columns from Parquet instead of deriving the library again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = new_path(spark, name)
+        build().write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
 def raw(spark, sf_dir) -> DataFrame:
+    """The raw library, stored."""
+    return stored(spark, sf_dir, "raw", lambda: derive_raw(spark, sf_dir))
+
+
+def derive_raw(spark, sf_dir) -> DataFrame:
     """Raw library records, all text, with the usual faults of such records."""
     orders = table(spark, sf_dir, "orders")
     joined = orders.join(peaks(spark, sf_dir), orders["o_orderkey"] == F.col("k"), "left")
@@ -103,8 +126,9 @@ def raw(spark, sf_dir) -> DataFrame:
 
 
 def spectra(spark, sf_dir, ion_mode=None) -> DataFrame:
-    """Clean spectra."""
-    return prepare_library(raw(spark, sf_dir), ion_mode)
+    """The clean library, stored by ion mode."""
+    clean = stored(spark, sf_dir, "spectra", lambda: prepare_library(raw(spark, sf_dir)))
+    return clean if ion_mode is None else clean.filter(F.col("ion_mode") == ion_mode)
 
 
 def processed(spark, sf_dir) -> DataFrame:
@@ -115,8 +139,15 @@ def binned(spark, sf_dir, n_bins, exponent=0.5) -> DataFrame:
     return processed(spark, sf_dir).transform(bin_peaks, n_bins, exponent)
 
 
-def documents(spark, sf_dir, ion_mode=None, n_decimals=2) -> DataFrame:
-    return spectra(spark, sf_dir, ion_mode).transform(create_documents, n_decimals)
+def documents(spark, sf_dir, ion_mode=None) -> DataFrame:
+    """The documents of the clean library, stored; words of two decimals."""
+    docs = stored(
+        spark,
+        sf_dir,
+        "documents",
+        lambda: create_documents(spectra(spark, sf_dir).drop("metadata"), 2),
+    )
+    return docs if ion_mode is None else docs.filter(F.col("ion_mode") == ion_mode)
 
 
 def library(spark, sf_dir) -> DataFrame:
@@ -145,7 +176,11 @@ def embedding_ids(spark, sf_dir) -> DataFrame:
 
 
 def embeddings(spark, sf_dir) -> DataFrame:
-    """(spectrum_id, label, vector, precursor_mz, ion_mode) of the given vectors."""
+    """The given vectors with their record's m/z and ion mode, stored as an index is."""
+    return stored(spark, sf_dir, "embeddings", lambda: derive_embeddings(spark, sf_dir))
+
+
+def derive_embeddings(spark, sf_dir) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         spectrum_id("vec_id").alias("spectrum_id"),
         "label",

@@ -41,7 +41,7 @@ def parse_peaks(peaks_json: Column) -> Column:
         pairs,
         lambda p: F.when(
             F.coalesce(F.forall(p, lambda x: F.coalesce(usable(x), F.lit(False))), F.lit(False)),
-            F.array_sort(F.transform(p, as_peak)),
+            F.sort_array(F.transform(p, as_peak)),
         ),
     )
 
@@ -129,7 +129,7 @@ def binned(peaks: Column, n_bins: int = DEFAULT_BINS, exponent: float = 0.5) ->
 
     inside = F.filter(peaks, lambda p: (p["mz"] >= MZ_MIN) & (p["mz"] < MZ_MAX))
     return let(
-        F.array_sort(F.transform(inside, hit)),
+        F.sort_array(F.transform(inside, hit)),
         lambda hits: F.filter(
             hits,
             lambda h, i: ~h["bin"].eqNullSafe(F.get(hits, i + F.lit(1))["bin"]),

@@ -4,19 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from specloom.session import materialise
+
 # A key is hot only if it holds more than 1/4096 of the rows, so a table of hot
-# keys has at most 4096 rows whatever the data: safe to broadcast.
+# keys has at most 4096 rows per side whatever the data: safe to broadcast.
 MAX_HOT_KEYS = 4096
 
 
 def _hot_counts(df: DataFrame, keys: list[str], target_rows: int, name: str) -> DataFrame:
     """(keys, count) of the keys with more than ``target_rows`` rows."""
     counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    total = df.select(F.count("*")).scalar()
+    total = counts.agg(F.sum(name)).scalar()
     limit = F.greatest(F.lit(target_rows).cast("bigint"), (total / MAX_HOT_KEYS).cast("bigint"))
     return counts.filter(F.col(name) > limit)
 
 
+def _settled(hot: DataFrame) -> DataFrame | None:
+    """None when no key is hot, as usual; else the hot keys, written once.
+
+    Both sides of a join must see the very same parts, and the plan that
+    follows is free of the counting.
+    """
+    return None if hot.isEmpty() else materialise(hot, "hot-keys")
+
+
 def _parts(count: str, target_rows: int) -> Column:
     return F.ceil(F.coalesce(F.col(count), F.lit(1)) / target_rows).cast("int")
 
@@ -29,6 +40,11 @@ def _spread(parts: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), parts - 1))
 
 
+def _renewed(df: DataFrame) -> list[Column]:
+    """The columns under new identities, for joining two forms of one table."""
+    return [F.col(c).alias(c) for c in df.columns]
+
+
 def split_hot_keys(
     left: DataFrame,
     right: DataFrame,
@@ -43,13 +59,19 @@ def split_hot_keys(
     A hot key's left rows are dealt to ``_lp`` and its right rows to ``_rp`` by
     a hash of their ids; each row is repeated along the other side's parts, so
     every (left, right) pair of the key meets in exactly one block. Keys that
-    are not hot stay whole and are not repeated.
+    are not hot stay whole and are not repeated. The keys of both sides are
+    counted first, so hand in stored tables: counting reads the keys only.
     """
     hot_left = _hot_counts(left, keys, left_rows, "_nl")
     hot_right = _hot_counts(right, keys, right_rows, "_nr")
-    hot = hot_left.join(hot_right, keys, "full").select(
-        *keys, _parts("_nl", left_rows).alias("_lparts"), _parts("_nr", right_rows).alias("_rparts")
+    hot = _settled(
+        hot_left.join(hot_right, keys, "full").select(
+            *keys, _parts("_nl", left_rows).alias("_lparts"), _parts("_nr", right_rows).alias("_rparts")
+        )
     )
+    if hot is None:
+        whole = [F.lit(0).alias("_lp"), F.lit(0).alias("_rp")]
+        return left.select("*", *whole), right.select(*_renewed(right), *whole), [*keys, "_lp", "_rp"]
     one = F.lit(1)
     lparts, rparts = F.coalesce("_lparts", one), F.coalesce("_rparts", one)
 
@@ -59,9 +81,8 @@ def split_hot_keys(
     left = cut(left).select(
         *left.columns, _part_of(left_id, lparts).alias("_lp"), _spread(rparts).alias("_rp")
     )
-    # New aliases keep the two sides apart when both come from one table.
     right = cut(right).select(
-        *[F.col(c).alias(c) for c in right.columns], _part_of(right_id, rparts).alias("_rp"), _spread(lparts).alias("_lp")
+        *_renewed(right), _part_of(right_id, rparts).alias("_rp"), _spread(lparts).alias("_lp")
     )
     return left, right, [*keys, "_lp", "_rp"]
 
@@ -79,15 +100,18 @@ def lookup_join(
     Hot keys of ``rows`` are dealt to several salts, and the table's rows of
     those keys are repeated once per salt. When the table turns out small,
     adaptive execution replaces the shuffle by a broadcast by its measured size.
+    The keys of ``rows`` are counted first, so hand in stored rows.
     """
-    hot = _hot_counts(rows, keys, target_rows, "_n").select(
-        *keys, _parts("_n", target_rows).alias("_salts")
+    hot = _settled(
+        _hot_counts(rows, keys, target_rows, "_n").select(*keys, _parts("_n", target_rows).alias("_salts"))
     )
+    if hot is None:
+        return rows.join(table.select(*_renewed(table)), keys, how)
     salts = F.coalesce("_salts", F.lit(1))
     dealt = rows.join(F.broadcast(hot), keys, "left").select(
         *rows.columns, _part_of(row_id, salts).alias("_salt")
     )
     repeated = table.join(F.broadcast(hot), keys, "left").select(
-        *table.columns, _spread(salts).alias("_salt")
+        *_renewed(table), _spread(salts).alias("_salt")
     )
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -112,19 +112,23 @@ def ms2ds_search(
     """Best references among the candidates of *all* queries of the same request.
 
     ``queries`` also holds ``request_id``. Each query meets its request's
-    distinct candidates only; crowded requests are cut into blocks.
+    distinct candidates only, also a query that has none of its own; crowded
+    requests are cut into blocks.
     """
     if on_empty == "raise":
         plain = queries.select("query_id", "query_mz", "request_id", *by)
         per_query = union_candidates(plain.withColumn("request_id", F.col("query_id")), refs, mz_range, by)
         apply_on_empty(plain, per_query.withColumnRenamed("request_id", "query_id"), "raise")
-    union = union_candidates(queries, refs, mz_range, by)
-    vectors = lookup_join(union, refs.select("ref_id", "ref_vector", *by), ["ref_id"], ["request_id"])
+    union = materialise(union_candidates(queries, refs, mz_range, by), "candidates")
+    vectors = materialise(
+        lookup_join(union, refs.select("ref_id", "ref_vector", *by), ["ref_id"], ["request_id"]),
+        "candidate-vectors",
+    )
     matches = blockwise_best(
         queries, vectors, ["request_id", *by], n_best_spectra or DEFAULT_N_BEST, block_rows=block_rows
     )
     if on_empty == "keep":
         matches = apply_on_empty(queries.select("query_id"), matches, "keep")
     if metadata is not None:
-        matches = attach_metadata(matches, metadata, include_metadata)
+        matches = attach_metadata(materialise(matches, "matches"), metadata, include_metadata)
     return matches

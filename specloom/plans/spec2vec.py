@@ -15,6 +15,7 @@ from specloom.operators.models import train_word_vectors
 from specloom.operators.ranking import DEFAULT_N_BEST, attach_metadata
 from specloom.operators.similarity import BLOCK_ROWS, blockwise_best
 from specloom.plans.library import prepare_library
+from specloom.session import materialise
 from specloom.sources.datasets import replace_partitions
 from specloom.sources.store import new_rows
 
@@ -39,7 +40,8 @@ def embed_spectra(
     dim: int | None = None,
 ) -> DataFrame:
     """(spectrum_id, vector) of the spectra that the model covers well enough."""
-    documents = create_documents(spectra, n_decimals)
+    columns = [c for c in ("spectrum_id", "ion_mode", "precursor_mz", "peaks") if c in spectra.columns]
+    documents = materialise(create_documents(spectra.select(*columns), n_decimals), "documents")
     embedded = embed_documents(documents, word_vectors, exponent, allowed_missing_percentage, dim)
     return embedded.filter(F.col("status") == "ok").select("spectrum_id", "vector")
 
@@ -104,5 +106,5 @@ def spec2vec_search(
     if on_empty == "keep":
         matches = apply_on_empty(queries.select("query_id"), matches, "keep")
     if metadata is not None:
-        matches = attach_metadata(matches, metadata, include_metadata)
+        matches = attach_metadata(materialise(matches, "matches"), metadata, include_metadata)
     return matches

@@ -91,7 +91,7 @@ def read_library_mgf(spark: SparkSession, paths) -> DataFrame:
             F.map_from_entries(
                 F.transform(F.filter("lines", lambda x: x.rlike("^[A-Za-z_][^=]*=")), entry)
             ).alias("metadata"),
-            F.array_sort(F.transform(F.filter("lines", lambda x: x.rlike(numbers)), peak)).alias("peaks"),
+            F.sort_array(F.transform(F.filter("lines", lambda x: x.rlike(numbers)), peak)).alias("peaks"),
         )
     )
 
