@@ -23,7 +23,12 @@ def main() -> None:
     spark = build_session(
         "specloom-bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g"},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.sql.files.openCostInBytes": "512k",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "12g",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -231,7 +231,7 @@ oracle("inchikey_block", "select substring(inchikey, 1, 14) as key, count(*) as
 VOCABULARY = "select bin, cast(row_number() over (order by bin) - 1 as int) as position from (select distinct bin from {})"
 oracle(
     "densify_binned",
-    f"select spectrum_id, cast(100 as int) as dim, {r6('sum(value)')} as total, {r6('sum(value * position)')} as weighted_total from bin100 join voc using (bin) group by spectrum_id",
+    f"select spectrum_id, cast((select count(*) from voc) as int) as dim, {r6('sum(value)')} as total, {r6('sum(value * position)')} as weighted_total from bin100 join voc using (bin) group by spectrum_id",
     voc=VOCABULARY.format("bin100"),
 )
 oracle("fit_bin_vocabulary", "select * from voc", voc=VOCABULARY.format("bin10k"))

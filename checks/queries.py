@@ -197,10 +197,10 @@ def write_embeddings(spark, sf):
 
 @query
 def write_binned(spark, sf):
-    keep = ["spectrum_id", "ion_mode", "bins"]
-    table = t.binned(spark, sf, 100).select(*keep)
-    batch = t.binned(spark, sf, 100, 1.0).select(*keep).filter(F.col("ion_mode") == "negative")
-    merged = store.write_binned(table, batch.withColumn("pos", F.lit(0)), ["pos"])
+    table = t.binned(spark, sf, 100)
+    unpowered = t.processed(spark, sf).filter(F.col("ion_mode") == "negative").transform(binning.bin_peaks, 100, 1.0)
+    batch = unpowered.select(*table.columns, F.lit(0).alias("pos"))
+    merged = store.write_binned(table, batch, ["pos"])
     return _bin_rows(merged, "ion_mode")
 
 
@@ -365,7 +365,7 @@ def power_weights(spark, sf):
 
 @query
 def bin_peaks(spark, sf):
-    return _bin_rows(t.binned(spark, sf, 100))
+    return _bin_rows(t.processed(spark, sf).transform(binning.bin_peaks, 100))
 
 
 @query
@@ -376,9 +376,8 @@ def inchikey_block_(spark, sf):
 
 @query
 def densify_binned(spark, sf):
-    binned = materialise(t.binned(spark, sf, 100), "binned")
-    vocabulary = binning.fit_bin_vocabulary(binned)
-    dense = binning.densify_binned(binning.positions_and_values(binned, vocabulary, 100), 100)
+    binned = t.binned(spark, sf, 100)
+    dense = binning.densify_binned(binned, binning.fit_bin_vocabulary(binned), 100)
     weighted = F.aggregate(
         F.transform("vector", lambda v, i: v * i), F.lit(0.0), lambda s, x: s + x
     )
@@ -396,7 +395,7 @@ def fit_bin_vocabulary(spark, sf):
 
 
 def _fitted_on_negative(spark, sf, n_bins):
-    all_binned = materialise(t.binned(spark, sf, n_bins), "binned")
+    all_binned = t.binned(spark, sf, n_bins)
     return all_binned, binning.fit_bin_vocabulary(all_binned.filter(F.col("ion_mode") == "negative"))
 
 
@@ -692,8 +691,8 @@ def network(n_inputs: int) -> list[models.DenseLayer]:
 
 
 def _network_vectors(spark, sf):
-    binned = materialise(t.binned(spark, sf, 100), "binned")
-    return ms2ds.embed_spectra(binned, binning.fit_bin_vocabulary(binned), network(100), 100)
+    binned = t.binned(spark, sf, 100)
+    return models.embed_binned(binned, binning.fit_bin_vocabulary(binned), network(100), 100)
 
 
 @query
@@ -776,7 +775,7 @@ def ms2ds_prepare(spark, sf):
 
 @query
 def ms2ds_index(spark, sf):
-    binned = materialise(t.binned(spark, sf, 100), "binned")
+    binned = t.binned(spark, sf, 100)
     indexed = ms2ds.ms2ds_index(
         spark,
         binned,

@@ -135,8 +135,12 @@ def processed(spark, sf_dir) -> DataFrame:
     return spectra(spark, sf_dir).transform(process_spectra)
 
 
-def binned(spark, sf_dir, n_bins, exponent=0.5) -> DataFrame:
-    return processed(spark, sf_dir).transform(bin_peaks, n_bins, exponent)
+def binned(spark, sf_dir, n_bins) -> DataFrame:
+    """The binned library, stored."""
+    keep = ["spectrum_id", "ion_mode", "bins"]
+    return stored(
+        spark, sf_dir, f"binned-{n_bins}", lambda: processed(spark, sf_dir).transform(bin_peaks, n_bins).select(*keep)
+    )
 
 
 def documents(spark, sf_dir, ion_mode=None) -> DataFrame:

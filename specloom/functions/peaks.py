@@ -46,6 +46,15 @@ def parse_peaks(peaks_json: Column) -> Column:
     )
 
 
+def usable_peaks(peaks_json: Column) -> Column:
+    """An array of the parsed peaks, empty if unusable; to be exploded.
+
+    As a plain column the JSON would be parsed again in every later filter the
+    column is pushed into; what a generator puts out is computed once.
+    """
+    return F.filter(F.array(parse_peaks(peaks_json)), lambda p: F.size(p) > 0)
+
+
 def any_negative(peaks: Column) -> Column:
     return F.exists(peaks, lambda p: p["intensity"] < 0)
 

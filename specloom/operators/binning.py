@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from specloom.functions import peaks as P
-from specloom.operators.cleaning import settle
 
 
 def bin_peaks(spectra: DataFrame, n_bins: int = P.DEFAULT_BINS, exponent: float = 0.5) -> DataFrame:
@@ -53,53 +53,27 @@ def unseen_bin_share(binned: DataFrame, vocabulary: DataFrame) -> DataFrame:
     )
 
 
-def positions_and_values(
-    binned: DataFrame, vocabulary: DataFrame, n_bins: int = P.DEFAULT_BINS
-) -> DataFrame:
-    """Keep the bins in the row and replace them by vocabulary positions.
+def vocabulary_lookup(vocabulary: DataFrame, n_bins: int = P.DEFAULT_BINS) -> Broadcast:
+    """The fitted vocabulary as an array from bin to position, -1 where unknown.
 
-    The vocabulary comes as one array indexed by bin (``n_bins`` entries, fixed
-    by the parameter), so no spectrum is taken apart and shuffled.
+    Its size is ``n_bins``, a parameter, whatever the corpus.
     """
-    slots = binned.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
-    lookup = (
-        slots.join(F.broadcast(vocabulary), "bin", "left")
-        .agg(F.array_sort(F.collect_list(F.struct("bin", "position"))).alias("slots"))
-        .select(F.transform("slots", lambda s: s["position"]))
-        .scalar()
-    )
-
-    def known(bound):
-        return F.filter(bound["bins"], lambda b: F.get(bound["lookup"], b["bin"]).isNotNull())
+    lookup = np.full(n_bins, -1, dtype=np.int64)
+    for row in vocabulary.collect():
+        lookup[row["bin"]] = row["position"]
+    return vocabulary.sparkSession.sparkContext.broadcast(lookup)
 
-    def replaced(bound):
-        return F.transform(
-            known(bound),
-            lambda b: F.struct(
-                F.get(bound["lookup"], b["bin"]).alias("position"), b["value"].alias("value")
-            ),
-        )
 
-    entries = P.let(F.struct("bins", F.col("_lookup").alias("lookup")), replaced)
-    return (
-        settle(binned.withColumn("_lookup", lookup), "_lookup")
-        .withColumn("_entries", entries)
-        .withColumns(
-            {
-                "positions": F.transform("_entries", lambda e: e["position"]),
-                "values": F.transform("_entries", lambda e: e["value"]),
-            }
-        )
-        .drop("_entries", "_lookup", "bins")
-    )
+def owners(column: pa.ListArray) -> np.ndarray:
+    """The row number of every element of a list column."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), lengths)
 
 
-def ragged(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A list column as its row numbers and flat values."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(len(column)), lengths), column.flatten().to_numpy(zero_copy_only=False)
+def ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """A list column as row numbers and flat values."""
+    whole = column.combine_chunks()
+    return owners(whole), whole.flatten().to_numpy(zero_copy_only=False)
 
 
 def list_column(matrix: np.ndarray) -> pa.Array:
@@ -114,24 +88,34 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield batch.slice(start, rows)
 
 
-def densify_binned(sparse: DataFrame, dim: int) -> DataFrame:
-    """(spectrum_id, vector) with zeros filled in, from positions and values.
+def known_entries(batch: pa.RecordBatch, lookup: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, vocabulary positions and values of the bins the vocabulary knows."""
+    owner = owners(batch.column("bins"))
+    entries = batch.column("bins").flatten()
+    positions = lookup[entries.field("bin").to_numpy(zero_copy_only=False)]
+    known = positions >= 0
+    return owner[known], positions[known], entries.field("value").to_numpy(zero_copy_only=False)[known]
+
+
+def densify_binned(binned: DataFrame, vocabulary: DataFrame, n_bins: int = P.DEFAULT_BINS) -> DataFrame:
+    """(spectrum_id, vector) over the vocabulary, zeros filled in; unknown bins are dropped.
 
     Scatters Arrow batches cut to about 32 MB of output, so a task's memory
-    depends neither on ``dim`` nor on the partition.
+    depends neither on the vocabulary nor on the partition.
     """
+    lookup = vocabulary_lookup(vocabulary, n_bins)
+    dim = int((lookup.value >= 0).sum())
     rows = max(1, 4_000_000 // max(dim, 1))
 
     def scatter(batches):
         for part in row_slices(batches, rows):
-            owner, positions = ragged(part.column("positions"))
-            _, values = ragged(part.column("values"))
+            owner, positions, values = known_entries(part, lookup.value)
             dense = np.zeros((part.num_rows, dim))
             dense[owner, positions] = values
             yield pa.RecordBatch.from_arrays(
                 [part.column("spectrum_id"), list_column(dense)], names=["spectrum_id", "vector"]
             )
 
-    return sparse.select("spectrum_id", "positions", "values").mapInArrow(
+    return binned.select("spectrum_id", "bins").mapInArrow(
         scatter, "spectrum_id string, vector array<double>"
     )

@@ -34,8 +34,6 @@ def parse_spectrum(raw: DataFrame) -> DataFrame:
     """Raw records (all text) to spectra; records without usable peaks are dropped.
 
     The structure key is the first defined one of the two keys a record holds.
-    The peaks are exploded from an array of none or one: as a plain column the
-    JSON would be parsed again in every later filter it is pushed into.
     """
     require_columns(raw, RAW_COLUMNS)
     kept = [name for name in RAW_COLUMNS if name != "peaks_json"]
@@ -44,7 +42,6 @@ def parse_spectrum(raw: DataFrame) -> DataFrame:
         F.nullif(X.defined(F.col("InChIKey_inchi")), F.lit("")),
         F.nullif(X.defined(F.col("InChIKey_smiles")), F.lit("")),
     )
-    usable = F.filter(F.array(P.parse_peaks(F.col("peaks_json"))), lambda p: F.size(p) > 0)
     return raw.select(
         "spectrum_id",
         X.number(F.col("Precursor_MZ")).alias("precursor_mz"),
@@ -57,7 +54,7 @@ def parse_spectrum(raw: DataFrame) -> DataFrame:
         F.col("Smiles").alias("smiles"),
         F.col("INCHI").alias("inchi"),
         key.alias("inchikey"),
-        F.explode(usable).alias("peaks"),
+        F.explode(P.usable_peaks(F.col("peaks_json"))).alias("peaks"),
         metadata.alias("metadata"),
     )
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from specloom.session import materialise
 
-# A key is hot only if it holds more than 1/4096 of the rows, so a table of hot
-# keys has at most 4096 rows per side whatever the data: safe to broadcast.
-MAX_HOT_KEYS = 4096
+# A key is hot if it holds more rows than a block takes, but at least a millionth
+# of all rows. So there are at most a million hot keys per side, whatever the
+# data: some tens of MB, safe to broadcast.
+MAX_HOT_KEYS = 1_000_000
 
 
 def _hot_counts(df: DataFrame, keys: list[str], target_rows: int, name: str) -> DataFrame:

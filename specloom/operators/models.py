@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from specloom.operators.binning import list_column, ragged, row_slices
+from specloom.functions.peaks import DEFAULT_BINS
+from specloom.operators.binning import known_entries, list_column, row_slices, vocabulary_lookup
 
 
 def train_word_vectors(
@@ -76,34 +77,29 @@ def _sparse_product(owner, positions, values, n_rows, weights):
     return out
 
 
-def embed_binned(sparse: DataFrame, layers: list[DenseLayer]) -> DataFrame:
+def embed_binned(
+    binned: DataFrame, vocabulary: DataFrame, layers: list[DenseLayer], n_bins: int = DEFAULT_BINS
+) -> DataFrame:
     """(spectrum_id, vector): a trained network applied to binned spectra.
 
     The input stays sparse: the first layer adds up only the weight rows of the
-    bins present. Weights are fixed by the architecture, not by the data, and
-    are sent once per executor.
+    bins present. Weights and vocabulary are fixed by the architecture, not by
+    the data, and are sent once per executor; the spectra are not shuffled.
     """
-    model = sparse.sparkSession.sparkContext.broadcast(layers)
+    lookup = vocabulary_lookup(vocabulary, n_bins)
+    model = binned.sparkSession.sparkContext.broadcast(layers)
 
     def embed(batches):
         first, *rest = model.value
         for part in row_slices(batches, 512):
-            owner, positions = ragged(part.column("positions"))
-            _, values = ragged(part.column("values"))
-            x = first.finish(_sparse_product(owner, positions, values, part.num_rows, first.weights))
+            entries = known_entries(part, lookup.value)
+            x = first.finish(_sparse_product(*entries, part.num_rows, first.weights))
             for layer in rest:
                 x = layer.finish(x @ layer.weights)
             yield pa.RecordBatch.from_arrays(
                 [part.column("spectrum_id"), list_column(x)], names=["spectrum_id", "vector"]
             )
 
-    return sparse.select("spectrum_id", "positions", "values").mapInArrow(
+    return binned.select("spectrum_id", "bins").mapInArrow(
         embed, "spectrum_id string, vector array<double>"
     )
-
-
-def with_project(embeddings: DataFrame, project: str, ion_mode: str) -> DataFrame:
-    """Tag embeddings with the partition they are stored in."""
-    return embeddings.select(
-        "spectrum_id", "vector", F.lit(project).alias("project"), F.lit(ion_mode).alias("ion_mode")
-    )

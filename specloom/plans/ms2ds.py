@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.functions.peaks import DEFAULT_BINS
-from specloom.operators.binning import bin_peaks, fit_bin_vocabulary, positions_and_values
+from specloom.operators.binning import bin_peaks, fit_bin_vocabulary
 from specloom.operators.candidates import apply_on_empty, union_candidates
 from specloom.operators.cleaning import process_spectra
 from specloom.operators.keys import lookup_join
@@ -71,13 +71,6 @@ def ms2ds_prepare(
     )
 
 
-def embed_spectra(
-    binned: DataFrame, vocabulary: DataFrame, layers: list[DenseLayer], n_bins: int = DEFAULT_BINS
-) -> DataFrame:
-    """(spectrum_id, vector) of binned spectra."""
-    return embed_binned(positions_and_values(binned, vocabulary, n_bins), layers)
-
-
 def ms2ds_index(
     spark: SparkSession,
     binned: DataFrame,
@@ -89,7 +82,7 @@ def ms2ds_index(
 ) -> DataFrame:
     """Replace one ion mode's embeddings; Spark's partitions serve as chunks of ids."""
     mine = binned.filter(F.col("ion_mode") == ion_mode)
-    embedded = embed_spectra(mine, vocabulary, layers, n_bins).select(
+    embedded = embed_binned(mine, vocabulary, layers, n_bins).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
     replace_partitions(embedded, embeddings_path, ("project", "ion_mode"))

@@ -50,8 +50,6 @@ ION_MODES = ("positive", "negative")
 RENAMED_KEYS = {"Scan": "scan_no"}
 RAW_COLUMNS = [RENAMED_KEYS.get(key, key) for key in RAW_KEYS]
 
-RAW_FILE_SCHEMA = T.StructType([T.StructField(key, T.StringType()) for key in RAW_KEYS])
-
 PEAKS = T.ArrayType(
     T.StructType([T.StructField("mz", T.DoubleType()), T.StructField("intensity", T.DoubleType())])
 )

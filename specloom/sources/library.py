@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.functions import peaks as P
 from specloom.functions.text import number
-from specloom.operators.keys import lookup_join
 from specloom.operators.ranking import query_label
-from specloom.schema import RAW_FILE_SCHEMA, RAW_KEYS, RENAMED_KEYS, SPECTRUM_SCHEMA, require_columns
+from specloom.schema import RAW_KEYS, RENAMED_KEYS, SPECTRUM_SCHEMA, require_columns
 
 
 def read_library_json(spark: SparkSession, paths, check_keys: bool = True) -> DataFrame:
@@ -149,7 +148,7 @@ def library_ids(raw: DataFrame) -> DataFrame:
 
 def read_by_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:
     """The records whose ``SpectrumID`` is among ``ids`` (a ``spectrum_id`` column)."""
-    wanted = ids.select(F.col("spectrum_id").alias("SpectrumID"))
+    wanted = ids.select(F.col("spectrum_id").alias("SpectrumID")).distinct()
     return raw.join(wanted, "SpectrumID", "left_semi").select(*raw.columns)
 
 
@@ -180,10 +179,6 @@ def parse_query_payload(requests: DataFrame) -> DataFrame:
         "n_best_spectra",
         "include_metadata",
         number(F.col("d.Precursor_MZ")).alias("precursor_mz"),
-        P.parse_peaks(F.col("d.peaks_json")).alias("peaks"),
-    ).filter(F.size("peaks") > 0)
-
+        F.explode(P.usable_peaks(F.col("d.peaks_json"))).alias("peaks"),
+    )
 
-def raw_reader(spark: SparkSession):
-    """A reader bound to the 37 text columns; keys that differ in case need it."""
-    return spark.read.schema(RAW_FILE_SCHEMA)

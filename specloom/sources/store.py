@@ -26,9 +26,14 @@ def upsert_spectra(
     return store.join(fresh.select(key), key, "left_anti").select(*store.columns).unionByName(fresh)
 
 
+def _ids(df: DataFrame, key: str = "spectrum_id") -> DataFrame:
+    """Each id once: repeats are removed before the shuffle that a join needs anyway."""
+    return df.select(key).distinct()
+
+
 def new_rows(batch: DataFrame, store: DataFrame, key: str = "spectrum_id") -> DataFrame:
     """The batch's rows whose id is not stored: what an append has to write."""
-    return batch.join(store.select(key), key, "left_anti").select(*batch.columns)
+    return batch.join(_ids(store, key), key, "left_anti").select(*batch.columns)
 
 
 def cache_new_spectra(
@@ -39,26 +44,24 @@ def cache_new_spectra(
 
 
 def stored_ids(store: DataFrame) -> DataFrame:
-    return store.select("spectrum_id").distinct()
+    return _ids(store)
 
 
 def existing_ids(ids: DataFrame, store: DataFrame) -> DataFrame:
     """The given ids that are stored, each once."""
-    return ids.select("spectrum_id").distinct().join(
-        store.select("spectrum_id"), "spectrum_id", "left_semi"
-    )
+    return _ids(ids).join(_ids(store), "spectrum_id", "left_semi")
 
 
 def missing_ids(ids: DataFrame, store: DataFrame) -> DataFrame:
     """The given ids that are not stored; repeated ids stay repeated."""
-    return ids.select("spectrum_id").join(store.select("spectrum_id"), "spectrum_id", "left_anti")
+    return ids.select("spectrum_id").join(_ids(store), "spectrum_id", "left_anti")
 
 
 def _fetch(table: DataFrame, ids: DataFrame | None) -> DataFrame:
     """Rows of the given ids: all for None, none for an empty set; unknown ids are skipped."""
     if ids is None:
         return table
-    return table.join(ids.select("spectrum_id"), "spectrum_id", "left_semi").select(*table.columns)
+    return table.join(_ids(ids), "spectrum_id", "left_semi").select(*table.columns)
 
 
 def fetch_spectra(store: DataFrame, ids: DataFrame | None = None) -> DataFrame:
@@ -98,7 +101,7 @@ def write_binned(table: DataFrame, batch: DataFrame, order_by: list[str]) -> Dat
 
 
 def delete_spectra(store: DataFrame, ids: DataFrame) -> DataFrame:
-    return store.join(ids.select("spectrum_id"), "spectrum_id", "left_anti").select(*store.columns)
+    return store.join(_ids(ids), "spectrum_id", "left_anti").select(*store.columns)
 
 
 def delete_embeddings(embeddings: DataFrame, project: str, ion_mode: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from specloom.plans.library import prepare_library
-from specloom.schema import SPECTRUM_SCHEMA
 from specloom.sources.store import latest_per_id, new_rows
 
 
@@ -38,5 +37,3 @@ def ingest_raw_stream(
         .start()
     )
 
-
-LIBRARY_COLUMNS = SPECTRUM_SCHEMA.fieldNames()

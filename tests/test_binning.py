@@ -35,10 +35,9 @@ def test_vocabulary_positions_and_unseen_share(spark):
 
 def test_dense_vectors(spark):
     binned, vocabulary = frame(spark)
-    sparse = binning.positions_and_values(binned, vocabulary, 100)
-    assert pairs(binning.densify_binned(sparse, 3), "spectrum_id", "vector") == [
-        ("s0", [1.0, 0.5, 0.0]),
-        ("s1", [0.5, 0.0, 0.0]),
+    assert pairs(binning.densify_binned(binned, vocabulary, 100), "spectrum_id", "vector") == [
+        ("s0", [1.0, 0.5]),
+        ("s1", [0.5, 0.0]),
     ]
 
 
@@ -59,9 +58,8 @@ def test_network_equals_dense_arithmetic(spark):
         models.DenseLayer(rng.normal(size=(n, 7)), rng.normal(size=7), "relu", rng.normal(size=7), rng.normal(size=7)),
         models.DenseLayer(rng.normal(size=(7, 3)), rng.normal(size=3), "linear"),
     ]
-    sparse = binning.positions_and_values(binned, vocabulary, 100)
-    dense = {r["spectrum_id"]: np.array(r["vector"]) for r in binning.densify_binned(sparse, n).collect()}
-    got = {r["spectrum_id"]: np.array(r["vector"]) for r in models.embed_binned(sparse, layers).collect()}
+    dense = {r["spectrum_id"]: np.array(r["vector"]) for r in binning.densify_binned(binned, vocabulary, 100).collect()}
+    got = {r["spectrum_id"]: np.array(r["vector"]) for r in models.embed_binned(binned, vocabulary, layers, 100).collect()}
     assert got.keys() == dense.keys() and len(got) == 26
     for key, x in dense.items():
         hidden = np.maximum(x @ layers[0].weights + layers[0].bias, 0) * layers[0].scale + layers[0].shift
