@@ -21,10 +21,13 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def is_defined(value: Column) -> Column:
+    return value.isNotNull() & ~F.lower(F.trim(value)).isin(UNDEFINED)
+
+
 def defined(value: Column) -> Column:
     """The value, or an empty string for any spelling of "undefined"."""
-    missing = value.isNull() | F.lower(F.trim(value)).isin(UNDEFINED)
-    return F.when(missing, F.lit("")).otherwise(value)
+    return F.when(is_defined(value), value).otherwise(F.lit(""))
 
 
 def charge_number(text: Column) -> Column:

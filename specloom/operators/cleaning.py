@@ -38,10 +38,8 @@ def parse_spectrum(raw: DataFrame) -> DataFrame:
     require_columns(raw, RAW_COLUMNS)
     kept = [name for name in RAW_COLUMNS if name != "peaks_json"]
     metadata = F.expr(f"map({', '.join(f"'{c.lower()}', `{c}`" for c in kept)})")
-    key = F.coalesce(
-        F.nullif(X.defined(F.col("InChIKey_inchi")), F.lit("")),
-        F.nullif(X.defined(F.col("InChIKey_smiles")), F.lit("")),
-    )
+    first, second = F.col("InChIKey_inchi"), F.col("InChIKey_smiles")
+    key = F.when(X.is_defined(first), first).when(X.is_defined(second), second)
     return raw.select(
         "spectrum_id",
         X.number(F.col("Precursor_MZ")).alias("precursor_mz"),
@@ -65,7 +63,8 @@ def normalise_metadata(spectra: DataFrame) -> DataFrame:
     A missing ion mode follows the charge's sign; a charge of zero or of the
     wrong sign follows the ion mode.
     """
-    charge = X.charge_number(F.col("charge"))
+    spectra = settle(spectra.withColumn("charge", X.charge_number(F.col("charge"))), "charge")
+    charge = F.col("charge")
     mode = F.lower(F.trim("ion_mode"))
     by_charge = F.when(charge > 0, "positive").when(charge < 0, "negative").otherwise("n/a")
     known = F.when(mode.isin("positive", "negative"), mode).otherwise(by_charge)

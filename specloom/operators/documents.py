@@ -70,6 +70,25 @@ def word_vocabulary(documents: DataFrame, min_count: int = 1) -> DataFrame:
     )
 
 
+# What a broadcast of words or of word vectors may take.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Bytes of a word in a broadcast table, generously.
+_WORD_BYTES = 64
+
+
+def _join_words(rows: DataFrame, table: DataFrame, how: str, dim: int = 0) -> DataFrame:
+    """Look words up in a table whose size decides between broadcast and shuffle."""
+    return lookup_join(
+        rows,
+        table,
+        ["word"],
+        ["spectrum_id", "position"],
+        how,
+        broadcast_rows=BROADCAST_BYTES // (_WORD_BYTES + 8 * dim),
+    )
+
+
 def _missing_share():
     missing = F.sum(F.when(F.col("_known").isNull(), F.col("weight")).otherwise(0.0))
     return 100 * F.coalesce(F.try_divide(missing, F.sum("weight")), F.lit(0.0))
@@ -88,7 +107,7 @@ def document_coverage(
     """Share of a document's weight on words the vocabulary lacks, in percent."""
     known = vocabulary.select("word", F.lit(True).alias("_known"))
     return (
-        lookup_join(word_rows(documents, exponent), known, ["word"], ["spectrum_id", "position"], "left")
+        _join_words(word_rows(documents, exponent), known, "left")
         .groupBy("spectrum_id")
         .agg(_missing_share().alias("missing_percentage"))
         .withColumn("status", _status(allowed_missing_percentage))
@@ -114,15 +133,11 @@ def weighted_document_vector(
     documents: DataFrame, word_vectors: DataFrame, exponent: float = 0.5, dim: int | None = None
 ) -> DataFrame:
     """Sum of word vector times powered weight, over the words that have a vector."""
-    joined = lookup_join(
-        word_rows(documents, exponent),
-        word_vectors.select("word", "vector"),
-        ["word"],
-        ["spectrum_id", "position"],
-    )
-    return joined.groupBy("spectrum_id").agg(
-        _vector_sum(dim or vector_size(word_vectors)).alias("vector")
+    dim = dim or vector_size(word_vectors)
+    joined = _join_words(
+        word_rows(documents, exponent), word_vectors.select("word", "vector"), "inner", dim
     )
+    return joined.groupBy("spectrum_id").agg(_vector_sum(dim).alias("vector"))
 
 
 def embed_documents(
@@ -138,13 +153,12 @@ def embed_documents(
     ``too_many_missing``, so one poor spectrum does not stop a library.
     """
     known = word_vectors.select("word", "vector", F.lit(True).alias("_known"))
-    rows = lookup_join(
-        word_rows(documents, exponent), known, ["word"], ["spectrum_id", "position"], "left"
-    )
+    dim = dim or vector_size(word_vectors)
     return (
-        rows.groupBy("spectrum_id")
+        _join_words(word_rows(documents, exponent), known, "left", dim)
+        .groupBy("spectrum_id")
         .agg(
-            _vector_sum(dim or vector_size(word_vectors)).alias("vector"),
+            _vector_sum(dim).alias("vector"),
             _missing_share().alias("missing_percentage"),
         )
         .withColumn("status", _status(allowed_missing_percentage))

@@ -95,14 +95,17 @@ def lookup_join(
     row_id: list[str],
     how: str = "inner",
     target_rows: int = 1_000_000,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Join many rows to a table with few rows per key.
 
-    Hot keys of ``rows`` are dealt to several salts, and the table's rows of
-    those keys are repeated once per salt. When the table turns out small,
-    adaptive execution replaces the shuffle by a broadcast by its measured size.
-    The keys of ``rows`` are counted first, so hand in stored rows.
+    A table counted to have at most ``broadcast_rows`` rows is broadcast: the
+    rows stay where they are. Beyond that both sides are shuffled. Hot keys of ``rows`` are dealt to several salts, and the table's rows of
+    those keys are repeated once per salt. For this the keys of ``rows`` are
+    counted first, so hand in stored rows.
     """
+    if broadcast_rows and table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(table.select(*_renewed(table))), keys, how)
     hot = _settled(
         _hot_counts(rows, keys, target_rows, "_n").select(*keys, _parts("_n", target_rows).alias("_salts"))
     )

@@ -41,7 +41,7 @@ def embed_spectra(
 ) -> DataFrame:
     """(spectrum_id, vector) of the spectra that the model covers well enough."""
     columns = [c for c in ("spectrum_id", "ion_mode", "precursor_mz", "peaks") if c in spectra.columns]
-    documents = materialise(create_documents(spectra.select(*columns), n_decimals), "documents")
+    documents = create_documents(spectra.select(*columns), n_decimals)
     embedded = embed_documents(documents, word_vectors, exponent, allowed_missing_percentage, dim)
     return embedded.filter(F.col("status") == "ok").select("spectrum_id", "vector")
 

@@ -166,7 +166,9 @@ def parse_query_payload(requests: DataFrame) -> DataFrame:
     parameters are NULL.
     """
     require_columns(requests, ["request_id", "payload"])
-    parsed = requests.select("request_id", F.from_json("payload", REQUEST_SCHEMA).alias("p"))
+    # Exploded from an array of one, so that the text is parsed once for all fields.
+    once = F.explode(F.array(F.from_json("payload", REQUEST_SCHEMA)))
+    parsed = requests.select("request_id", once.alias("p"))
     return parsed.select(
         "request_id",
         F.col("p.parameters.n_best_spectra").alias("n_best_spectra"),

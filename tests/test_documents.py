@@ -54,7 +54,7 @@ def test_hot_word_does_not_change_the_result(spark, monkeypatch):
     docs = documents.create_documents(df)
     expected = pairs(documents.embed_documents(docs, vectors(spark), dim=2), "spectrum_id", "vector", "missing_percentage")
     original = documents.lookup_join
-    monkeypatch.setattr(documents, "lookup_join", lambda *a: original(*a, target_rows=7))
+    monkeypatch.setattr(documents, "lookup_join", lambda *a, broadcast_rows: original(*a, target_rows=7))
     assert (
         pairs(documents.embed_documents(docs, vectors(spark), dim=2), "spectrum_id", "vector", "missing_percentage")
         == expected
