@@ -25,7 +25,8 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
-            "spark.sql.files.openCostInBytes": "512k",
+            # As many shuffle partitions as cores: nothing to coalesce.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
         },
@@ -40,7 +41,7 @@ def main() -> None:
     timed(lambda: tables.table(spark, sf_dir, "orders"))
     seconds = {}
     started = time.perf_counter()
-    for stored in (tables.raw, tables.spectra, tables.documents, tables.embeddings):
+    for stored in (tables.raw, tables.spectra, tables.documents, tables.embeddings, tables.requests):
         stored(spark, sf_dir)
     seconds["library_setup"] = round(time.perf_counter() - started, 3)
     for key in sys.argv[1:] or REGISTRY:

@@ -257,6 +257,11 @@ def part_features(spark, sf_dir) -> DataFrame:
 
 
 def requests(spark, sf_dir) -> DataFrame:
+    """Search requests as they came in, stored."""
+    return stored(spark, sf_dir, "requests", lambda: derive_requests(spark, sf_dir))
+
+
+def derive_requests(spark, sf_dir) -> DataFrame:
     """(request_id, payload): one unusable query, one without and one with an id."""
     records = raw(spark, sf_dir)
     mz, peaks_json = F.col("Precursor_MZ"), F.col("peaks_json")
