@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,14 +13,19 @@ from specloom.functions.text import inchikey_block
 from specloom.operators import binning, candidates, chunks, cleaning, documents, models, ranking, similarity, structures
 from specloom.plans import ms2ds, spec2vec
 from specloom.plans.library import prepare_library
-from specloom.session import materialise, new_path
+from specloom.session import materialise, new_path, ship_package
 from specloom.sources import datasets, library, store
 
 REGISTRY = {}
 
 
 def query(fn):
-    REGISTRY[fn.__name__.rstrip("_")] = fn
+    @wraps(fn)
+    def run(spark, sf) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf)
+
+    REGISTRY[fn.__name__.rstrip("_")] = run
     return fn
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,26 @@ def build_session(app_name: str = "specloom", master: str | None = None, **setti
         builder = builder.master(master)
     for name, value in {**SESSION_SETTINGS, **settings}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    As ``--py-files`` does; needed where the workers cannot import it otherwise.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        target = Path(tempfile.mkdtemp(prefix="specloom-package-")) / "specloom_package"
+        root = Path(__file__).resolve().parent
+        archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
 
 
 def shared_dir(spark: SparkSession) -> str:
