@@ -31,6 +31,16 @@ def packed_schema(runs: dict[str, type], items: dict[str, type]) -> str:
     return ", ".join(["bucket int", "run_items binary", *(f"{n} binary" for n in [*runs, *items])])
 
 
+def pack_through(values: dict[str, np.ndarray], packed: pa.RecordBatch | None, schema: pa.Schema) -> pa.RecordBatch:
+    """Add arrays that the reducer gets as they are, to the first row."""
+    n = max(packed.num_rows if packed else 0, 1)
+    out = {f.name: packed.column(f.name) if packed and f.name in packed.schema.names else pa.nulls(n, f.type) for f in schema}
+    if not packed:
+        out["bucket"] = pa.array([0], pa.int32())
+    out |= {k: pa.array([v.tobytes(), *[None] * (n - 1)], pa.binary()) for k, v in values.items()}
+    return pa.RecordBatch.from_pydict(out, schema)
+
+
 def pack(bucket: np.ndarray, run: np.ndarray, runs: dict[str, np.ndarray], items: dict[str, np.ndarray]) -> pa.RecordBatch:
     """One row per bucket. ``run`` gives each item's place in the arrays of ``runs`` (per document, ascending)."""
     order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 65536 else bucket, kind="stable")
@@ -58,11 +68,17 @@ def joined(batches: list[pa.RecordBatch], name: str, kind: type) -> np.ndarray:
 
 
 def exchanged(
-    packed: DataFrame, runs: dict[str, type], items: dict[str, type], reduce: Callable[[dict], Iterator[pa.RecordBatch]], schema: str
+    packed: DataFrame,
+    runs: dict[str, type],
+    items: dict[str, type],
+    reduce: Callable[[dict], Iterator[pa.RecordBatch]],
+    schema: str,
+    repeat: bool = True,
 ) -> DataFrame:
     """Bring each bucket into one partition and apply ``reduce`` to its arrays.
 
-    Values of ``runs`` are repeated for each of their items.
+    Values of ``runs`` are repeated for each of their items; else ``run_items``
+    tells how many items each run has.
     """
     n = bucket_count(packed)
 
@@ -70,7 +86,8 @@ def exchanged(
         batches = [b for b in batches if b.num_rows]
         if batches:
             length = joined(batches, "run_items", np.uint32)
-            arrays = {k: np.repeat(joined(batches, k, t), length) for k, t in runs.items()}
+            arrays = {k: joined(batches, k, t) for k, t in runs.items()}
+            arrays = {k: np.repeat(v, length) for k, v in arrays.items()} if repeat else arrays | {"run_items": length}
             arrays |= {k: joined(batches, k, t) for k, t in items.items()}
             del batches
             yield from reduce(arrays)

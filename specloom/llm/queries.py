@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from specloom.llm.jaccard_join import jaccard_classes
+from specloom.llm.line_dedup import line_digest
+from specloom.llm.substring_dedup import substring_digest
 from specloom.session import ship_package
 
 QUERIES = {}
@@ -23,20 +25,59 @@ def query(fn):
     return run
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substring_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_ngram_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
-WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+# {items}: a list of each text's items; {n}: items of a window; {later}: that a window starts earlier; {join}: what joins items.
+REPEATS = """
+WITH items AS (SELECT doc_id, coalesce(text, '') AS text, {items} AS w FROM documents
+), places AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS item FROM items
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - {n} + 2)) AS p, unnest(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], chr(10)))) AS s
+  FROM items WHERE len(w) >= {n}
+), marked AS (SELECT doc_id, p FROM (SELECT doc_id, p, {first} AS f FROM windows) WHERE {later}
+), gone AS (SELECT DISTINCT doc_id, p + k AS p FROM marked, range({n}) r(k)
+), kept AS (
+  SELECT doc_id, string_agg(item, '{join}' ORDER BY p) AS text, count(*) AS n FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+"""
 
 ORACLES = {
+    "op1_line_dedup": REPEATS.format(
+        items="string_split(coalesce(text, ''), chr(10))",
+        n=3,
+        first="min((doc_id, p)) OVER (PARTITION BY s)",
+        later="f < (doc_id, p)",
+        join="' || chr(10) || '",
+    )
+    + """SELECT i.doc_id, CAST(CASE WHEN i.text = '' THEN 0 ELSE len(i.w) END AS BIGINT) AS n_lines,
+  CAST(CASE WHEN i.text = '' THEN 0 ELSE len(i.w) END - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM items i LEFT JOIN kept k ON k.doc_id = i.doc_id""",
+    "op5_substring_dedup": REPEATS.format(
+        items=WORDS.format(text="coalesce(text, '')"), n=13, first="min(doc_id) OVER (PARTITION BY s)", later="f < doc_id", join=" "
+    )
+    + """SELECT i.doc_id, CAST(len(i.w) AS BIGINT) AS n_words, CAST(len(i.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256 FROM items i LEFT JOIN kept k ON k.doc_id = i.doc_id""",
     "op8_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, {WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) END AS s FROM words
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM words
 ), items AS (SELECT doc_id, unnest(s) AS item, len(s) AS n FROM sets
 ), links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
