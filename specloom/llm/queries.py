@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from specloom.llm.decontaminate import benchmark_copies
 from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.line_dedup import line_digest
+from specloom.llm.merge_dropout import encode
 from specloom.llm.substring_dedup import substring_digest
 from specloom.session import ship_package
 
@@ -30,11 +32,21 @@ def op1_line_dedup(spark, sf_dir):
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentencepiece_merge_dropout(spark, sf_dir):
+    return encode(table(spark, sf_dir, "documents"), check=True)
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_benchmark_decontamination(spark, sf_dir):
+    return benchmark_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_ngram_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
