@@ -15,10 +15,12 @@ and no posting list is cut.
    than may be missing would have to be missing for two sets to share no key.
    The smaller of two linked sets shares a key of its *short* prefix with the
    other's *long* one.
-4. First, one partner for each set (the smallest set of a key, most keys in
-   common) is verified and linked sets are merged. Then every key is looked at
-   again and only sets of different components meet. So copies by the thousand
-   cost a link each, not all pairs.
+4. First, one partner for each set (of the sets of a key with the fewest items
+   of their own, the one with most keys in common) is verified and linked sets
+   are merged; twice. Then every key is looked at again and only sets of
+   different components meet. So copies by the thousand cost a link each, not
+   all pairs. A pair that sizes and 256-bit sketches show to be too different
+   isn't put out.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ RARE = 32
 SUBCLASS_ITEMS = 8
 # Pairs that one reducer holds before it hands them on.
 PAIR_BLOCK = 1_000_000
+# Sets of a key that are tried as partners of its other sets before all pairs of different components are.
+PARTNERS = 3
 
 
 def _ceil_percent(n, percent: int):
@@ -140,18 +144,29 @@ def _spread(items: np.ndarray, n: int) -> np.ndarray:
     return bucket_of(K.mix(items), n)
 
 
-def _shared_counts(arrays):
-    """(sign, shared): how many of a set's items of this bucket other sets have too."""
-    order = np.lexsort((arrays["sign"], arrays["item"]))
-    item, sign = arrays["item"][order], arrays["sign"][order]
-    new = np.ones(len(item), bool)
-    new[1:] = (item[1:] != item[:-1]) | (sign[1:] != sign[:-1])
-    item, sign = item[new], sign[new]
-    first, length = K.runs(item)
-    sign = sign[np.repeat(length > 1, length)]
-    if len(sign):
-        sign, shared = np.unique(sign, return_counts=True)
-        yield pa.RecordBatch.from_pydict({"sign": pa.array(sign), "shared": pa.array(shared)})
+def _shared_counts(n_buckets: int):
+    """(sign, shared): how many of a set's items of this bucket other sets have too; packed by sign."""
+
+    def reduce(arrays):
+        order = np.lexsort((arrays["sign"], arrays["item"]))
+        item, sign = arrays["item"][order], arrays["sign"][order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (sign[1:] != sign[:-1])
+        item, sign = item[new], sign[new]
+        first, length = K.runs(item)
+        sign = sign[np.repeat(length > 1, length)]
+        if len(sign):
+            sign, shared = np.unique(sign, return_counts=True)
+            where = bucket_of(K.mix(sign.view(U64)), n_buckets)
+            yield pack(where, np.arange(len(sign)), {"sign": sign}, {"shared": shared.astype(np.uint32)})
+
+    return reduce
+
+
+def _summed(arrays):
+    sign, inverse = np.unique(arrays["sign"], return_inverse=True)
+    shared = np.bincount(inverse, weights=arrays["shared"], minlength=len(sign)).astype(np.int64)
+    yield pa.RecordBatch.from_pydict({"a": pa.array(sign), "shared": pa.array(shared)})
 
 
 def _candidate_sets(batches):
@@ -182,44 +197,44 @@ def _all_items(n_buckets: int):
     return work
 
 
-def _frequencies(arrays):
-    """For each set, its items of this bucket that other sets have too, with their frequency."""
-    order = np.lexsort((arrays["doc"], arrays["item"]))
-    item, doc, n = arrays["item"][order], arrays["doc"][order], arrays["n"][order]
-    first, length = K.runs(item)
-    many = np.repeat(length > 1, length)
-    df = np.repeat(length, length)[many].astype(np.uint32)
-    item, doc, n = item[many], doc[many], n[many]
-    order = np.argsort(doc, kind="stable")
-    item, df, doc, n = item[order], df[order], doc[order], n[order]
-    first, length = K.runs(doc)
-    for at in range(0, len(first), 10_000):
-        cut = range(at, min(at + 10_000, len(first)))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc": pa.array(doc[first[at : at + 10_000]]),
-                "n": pa.array(n[first[at : at + 10_000]]),
-                "items": pa.array([item[first[i] : first[i] + length[i]].tobytes() for i in cut], pa.binary()),
-                "df": pa.array([df[first[i] : first[i] + length[i]].tobytes() for i in cut], pa.binary()),
-            }
-        )
+def _frequencies(n_buckets: int):
+    """The items of this bucket that several sets have, with their frequency; packed by set."""
 
+    def reduce(arrays):
+        order = np.argsort(arrays["item"], kind="stable")
+        item, doc, n = arrays["item"][order], arrays["doc"][order], arrays["n"][order]
+        first, length = K.runs(item)
+        many = np.repeat(length > 1, length)
+        df = np.repeat(length, length)[many].astype(np.uint32)
+        item, doc, n = item[many], doc[many], n[many]
+        order = np.argsort(doc, kind="stable")
+        item, df, doc, n = item[order], df[order], doc[order], n[order]
+        if len(doc):
+            yield pack(bucket_of(K.mix(doc.view(U64)), n_buckets), np.arange(len(doc)), {"doc": doc, "n": n}, {"item": item, "df": df})
+
+    return reduce
+
+
+def _sketch(items: np.ndarray) -> np.ndarray:
+    """256 bits, each the parity of the items that fall on it: two sets differ in at least as many items as bits."""
+    odd = np.bincount((K.mix(items ^ U64(0x5EED)) & U64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-def _profile(batches):
-    """Join a set's shared items, sorted by hash."""
-    for batch in batches:
-        items, dfs = [], []
-        for parts, counts in zip(batch.column("items").to_pylist(), batch.column("df").to_pylist()):
-            item, df = np.frombuffer(b"".join(parts), U64), np.frombuffer(b"".join(counts), np.uint32)
-            order = np.argsort(item)
-            items.append(item[order].tobytes())
-            dfs.append(df[order].tobytes())
+
+def _profiles(arrays):
+    """(doc, n, items, df, sketch): each set's shared items, sorted by hash."""
+    order = np.lexsort((arrays["item"], arrays["doc"]))
+    a = {k: v[order] for k, v in arrays.items()}
+    first, length = K.runs(a["doc"])
+    for at in range(0, len(first), 5_000):
+        cuts = [(int(x), int(x + y)) for x, y in zip(first[at : at + 5_000], length[at : at + 5_000])]
         yield pa.RecordBatch.from_pydict(
             {
-                "doc": batch.column("doc"),
-                "n": batch.column("n"),
-                "items": pa.array(items, pa.binary()),
-                "df": pa.array(dfs, pa.binary()),
+                "doc": pa.array(a["doc"][first[at : at + 5_000]]),
+                "n": pa.array(a["n"][first[at : at + 5_000]]),
+                "items": pa.array([a["item"][x:y].tobytes() for x, y in cuts], pa.binary()),
+                "df": pa.array([a["df"][x:y].tobytes() for x, y in cuts], pa.binary()),
+                "sketch": pa.array([_sketch(a["item"][x:y]).tobytes() for x, y in cuts], pa.binary()),
             }
         )
 
@@ -290,18 +305,22 @@ def _keyed(n_buckets: int, percent: int, every: int, rare: int):
                 key = np.concatenate(keys)
                 if len(key):
                     runs = {k: part.column(k).to_numpy().astype(np.int64) for k in ("doc", "n", "component")}
+                    runs["single"] = runs["n"] - np.array([len(x) // 8 for x in columns[1]])
+                    sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.int64).reshape(-1, 4)
+                    runs |= {f"s{i}": sketches[:, i] for i in range(4)}
                     items = {"key": key, "short": np.concatenate(short).astype(np.uint8)}
                     yield pack(bucket_of(key, n_buckets), np.concatenate(owner), runs, items)
 
     return work
 
 
-RUNS = {"doc": np.int64, "n": np.int64, "component": np.int64}
+RUNS = dict.fromkeys(["doc", "n", "component", "single", "s0", "s1", "s2", "s3"], np.int64)
 ITEMS = {"key": U64, "short": np.uint8}
 
 
 def _by_key(arrays):
-    order = np.lexsort((arrays["doc"], arrays["key"]))
+    """Sorted by key, the sets with the fewest items of their own first."""
+    order = np.lexsort((arrays["doc"], arrays["single"] / arrays["n"], arrays["key"]))
     a = {k: v[order] for k, v in arrays.items()}
     new = np.ones(len(order), bool)
     new[1:] = (a["key"][1:] != a["key"][:-1]) | (a["doc"][1:] != a["doc"][:-1])
@@ -309,26 +328,44 @@ def _by_key(arrays):
 
 
 def _may_link(a, left, right, percent: int):
-    """Sizes allow a link, and the smaller set has the key in its short prefix."""
-    small, large = np.minimum(a["n"][left], a["n"][right]), np.maximum(a["n"][left], a["n"][right])
+    """Sizes and sketches allow a link, and the smaller set has the key in its short prefix."""
+    n_left, n_right = a["n"][left], a["n"][right]
     head_left, head_right = a["short"][left] > 0, a["short"][right] > 0
-    head = np.where(a["n"][left] < a["n"][right], head_left, head_right)
-    head = np.where(a["n"][left] == a["n"][right], head_left | head_right, head)
-    return (100 * small >= percent * large) & head
+    head = np.where(n_left < n_right, head_left, head_right)
+    head = np.where(n_left == n_right, head_left | head_right, head)
+    may = (a["component"][left] != a["component"][right]) & head
+    may &= 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
+    some = np.flatnonzero(may)
+    left, right = left[some], right[some]
+    differ = a["single"][left] + a["single"][right]
+    for i in range(4):
+        differ += np.bitwise_count(a[f"s{i}"][left] ^ a[f"s{i}"][right])
+    # common <= (size of both - differing items) / 2
+    both = a["n"][left] + a["n"][right]
+    may[some] = 100 * (both - differ) >= percent * (both + differ)
+    return may
 
 
 def _partners(percent: int):
-    """(doc, partner, shared): the smallest set of each key as a partner of the others."""
+    """(doc, partner, shared): the most typical sets of each key as partners of the others."""
 
     def reduce(arrays):
         a = _by_key(arrays)
         first, length = K.runs(a["key"])
-        pivot = np.repeat(first, length)
-        own = np.arange(len(pivot))
-        keep = (pivot != own) & _may_link(a, pivot, own, percent)
-        pairs, shared = np.unique(np.stack([a["doc"][own[keep]], a["doc"][pivot[keep]]]), axis=1, return_counts=True)
+        found = []
+        for k in range(PARTNERS):
+            pivot = np.repeat(np.where(length > k, first + k, first), length)
+            own = np.arange(len(pivot))
+            keep = own > pivot
+            keep[keep] = _may_link(a, pivot[keep], own[keep], percent)
+            found.append(np.stack([a["doc"][own[keep]], a["doc"][pivot[keep]]]))
+        pairs, shared = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
+        # The best of each set, here.
+        order = np.lexsort((-shared, pairs[0]))
+        pairs, shared = pairs[:, order], shared[order]
+        best = K.runs(pairs[0])[0]
         yield pa.RecordBatch.from_pydict(
-            {"doc": pa.array(pairs[0]), "partner": pa.array(pairs[1]), "shared": pa.array(shared)}
+            {"doc": pa.array(pairs[0][best]), "partner": pa.array(pairs[1][best]), "shared": pa.array(shared[best])}
         )
 
     return reduce
@@ -347,6 +384,8 @@ def _open_pairs(percent: int):
             component = a["component"][at : at + n]
             for i in range(n - 1):
                 right = at + i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
+                if not len(right):
+                    continue
                 left = np.full(len(right), at + i)
                 keep = _may_link(a, left, right, percent)
                 if keep.any():
@@ -408,8 +447,10 @@ def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -
     first = docs.filter("text is not null and doc_id is not null").mapInArrow(
         _first_prefixes(n_buckets, percent), packed_schema({"sign": 0}, {"item": 0})
     )
-    shared = exchanged(first, {"sign": np.int64}, {"item": U64}, _shared_counts, "sign long, shared long")
-    shared = shared.groupBy(F.col("sign").alias("a")).agg(F.sum("shared").alias("shared"))
+    shared = exchanged(
+        first, {"sign": np.int64}, {"item": U64}, _shared_counts(n_buckets), packed_schema({"sign": 0}, {"shared": 0})
+    )
+    shared = exchanged(shared, {"sign": np.int64}, {"shared": np.uint32}, _summed, "a long, shared long")
     least = f"ceil(ceil(n * {percent} / 100) * 15 / 100)"
     candidates = materialise(
         classes.join(shared, "a").filter(f"shared >= {least}").select("doc_id", "a", "b"), "jaccard-candidates"
@@ -419,32 +460,34 @@ def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -
     )
     sets = materialise(sets.dropDuplicates(["doc"]), "jaccard-sets")
 
+    runs = {"doc": np.int64, "n": np.int64}
     profiles = exchanged(
-        sets.mapInArrow(_all_items(n_buckets), packed_schema({"doc": 0, "n": 0}, {"item": 0})),
-        {"doc": np.int64, "n": np.int64},
+        sets.mapInArrow(_all_items(n_buckets), packed_schema(runs, {"item": 0})),
+        runs,
         {"item": U64},
-        _frequencies,
-        "doc long, n long, items binary, df binary",
+        _frequencies(n_buckets),
+        packed_schema(runs, {"item": 0, "df": 0}),
     )
-    profiles = profiles.groupBy("doc", "n").agg(F.collect_list("items").alias("items"), F.collect_list("df").alias("df"))
-    profiles = materialise(
-        profiles.mapInArrow(_profile, "doc long, n long, items binary, df binary"), "jaccard-profiles"
+    profiles = exchanged(
+        profiles, runs, {"item": U64, "df": np.uint32}, _profiles, "doc long, n long, items binary, df binary, sketch binary"
     )
+    profiles = materialise(profiles, "jaccard-profiles")
 
     def keys(components: DataFrame, every: int) -> DataFrame:
         return components.mapInArrow(_keyed(n_buckets, percent, every, rare), packed_schema(RUNS, ITEMS))
 
-    alone = profiles.withColumn("component", F.col("doc"))
-    likely = exchanged(keys(alone, 8), RUNS, ITEMS, _partners(percent), "doc long, partner long, shared long")
-    likely = likely.groupBy("doc", "partner").agg(F.sum("shared").alias("shared"))
-    likely = likely.groupBy("doc").agg(F.max_by("partner", F.struct("shared", -F.col("partner"))).alias("partner"))
-    links = materialise(verified(likely, profiles, percent), "jaccard-links")
-
-    merged = connected_components(links.toDF("a", "b"))
-    merged = profiles.join(merged.withColumnRenamed("node", "doc"), "doc", "left")
-    merged = merged.withColumn("component", F.coalesce("component", "doc"))
-    rest = exchanged(keys(merged, 1), RUNS, ITEMS, _open_pairs(percent), "doc long, partner long").distinct()
-    links = links.unionByName(materialise(verified(materialise(rest, "jaccard-rest"), profiles, percent), "jaccard-links"))
+    links, merged = None, profiles.withColumn("component", F.col("doc"))
+    for every in (8, 1, 0):
+        if every:
+            found = exchanged(keys(merged, every), RUNS, ITEMS, _partners(percent), "doc long, partner long, shared long")
+            pairs = found.groupBy("doc").agg(F.max_by("partner", F.struct("shared", -F.col("partner"))).alias("partner"))
+        else:
+            pairs = exchanged(keys(merged, 1), RUNS, ITEMS, _open_pairs(percent), "doc long, partner long").distinct()
+        new = materialise(verified(materialise(pairs, "jaccard-pairs"), profiles, percent), "jaccard-links")
+        links = links.unionByName(new) if links else new
+        if every:
+            merged = profiles.join(connected_components(links.toDF("a", "b")).withColumnRenamed("node", "doc"), "doc", "left")
+            merged = merged.withColumn("component", F.coalesce("component", "doc"))
 
     components = connected_components(links.toDF("a", "b"))
     named = classes.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
