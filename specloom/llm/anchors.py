@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm import textkernel as K
-from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, pack_through
+from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, pack_through, packed_schema
 
 RUNS = {"doc": np.int64, "mark": np.uint32, "anchor": U64, "at": np.uint32, "shift": np.uint8}
 ITEMS = {"check": np.uint32}
@@ -105,12 +105,12 @@ def _anchored(spans, k: int, w: int, by_place: bool, n_buckets: int):
                 }
                 items = {"check": window[send].astype(np.uint32)}
                 packed = pack(bucket_of(K.mix(grams[owner]), n_buckets), run, runs, items)
-            yield pack_through(own, packed, SCHEMA)
+            yield pack_through(own, K.mix(own["own_doc"].view(U64)), packed, SCHEMA)
 
     return work
 
 
-def _extended(size: int, by_place: bool):
+def _extended(size: int, by_place: bool, n_buckets: int):
     def reduce(a):
         marked = [(a["own_doc"], a["own_mark"], a["own_at"])]
         if len(a["anchor"]):
@@ -137,34 +137,58 @@ def _extended(size: int, by_place: bool):
                 later = _later([doc, at] if by_place else [doc], same)
                 marked.append((doc[later], mark[later], at[later]))
         doc, mark, at = (np.concatenate(x) for x in zip(*marked))
-        order = np.lexsort((at, mark, doc))
-        doc, mark, at = doc[order], mark[order], at[order].astype(np.int64)
-        if not len(doc):
-            return
-        other = np.ones(len(doc), bool)
-        other[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
-        head = other.copy()
-        head[1:] |= at[1:] > at[:-1] + size
-        first = np.flatnonzero(head)
-        last = np.append(first[1:], len(doc)) - 1
-        spans = np.stack([at[first], at[last] + size], axis=1).astype(np.uint32)
-        which = np.flatnonzero(other[first])
-        cut = np.append(which, len(first))
-        for i in range(0, len(which), 20_000):
-            own = first[which[i : i + 20_000]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc": pa.array(doc[own]),
-                    "mark": pa.array(mark[own].astype(np.int64)),
-                    "spans": pa.array([spans[x:y].tobytes() for x, y in zip(cut[i : i + 20_000], cut[i + 1 : i + 20_001])], pa.binary()),
-                }
-            )
+        if len(doc):
+            doc, mark, start, end = _maximal(doc, mark, at.astype(np.int64), at.astype(np.int64) + size)
+            first = _heads(doc, mark)
+            run = np.cumsum(first) - 1
+            where = bucket_of(K.mix(doc.view(U64)), n_buckets)
+            spans = {"start": start.astype(np.uint32), "end": end.astype(np.uint32)}
+            yield pack(where, run, {"doc": doc[first], "mark": mark[first]}, spans)
 
     return reduce
 
 
+def _heads(doc: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Where another text begins."""
+    head = np.ones(len(doc), bool)
+    head[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+    return head
+
+
+def _maximal(doc, mark, start, end):
+    """Join spans of a text that overlap or touch; sorted by text and place."""
+    order = np.lexsort((start, mark, doc))
+    doc, mark, start, end = doc[order], mark[order], start[order], end[order]
+    text = np.cumsum(_heads(doc, mark))
+    # The furthest end so far within the text: texts are set apart by a step longer than any end.
+    step = np.int64(2**33)
+    reach = np.maximum.accumulate(end + text * step) - text * step
+    head = np.ones(len(doc), bool)
+    head[1:] = (text[1:] != text[:-1]) | (start[1:] > reach[:-1])
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], mark[first], start[first], reach[last]
+
+
+def _per_text(a):
+    """(doc, mark, spans) of each text."""
+    doc, mark, start, end = _maximal(a["doc"], a["mark"], a["start"].astype(np.int64), a["end"].astype(np.int64))
+    first = np.flatnonzero(_heads(doc, mark))
+    cut = np.append(first, len(doc))
+    spans = np.stack([start, end], axis=1).astype(np.uint32)
+    for i in range(0, len(first), 20_000):
+        own = first[i : i + 20_000]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "doc": pa.array(doc[own]),
+                "mark": pa.array(mark[own].astype(np.int64)),
+                "spans": pa.array([spans[x:y].tobytes() for x, y in zip(own, cut[i + 1 : i + 20_001])], pa.binary()),
+            }
+        )
+
+
 def repeated_spans(documents: DataFrame, spans, k: int, w: int, by_place: bool) -> DataFrame:
-    """(doc, mark, spans): for each text, pieces of its spans of repeated items, as pairs of 32-bit places.
+    """(doc, mark, spans): each text's maximal spans of repeated items, as pairs of 32-bit places.
 
     Items are what ``spans`` finds. A window of k + w - 1 items is repeated if
     its items also start in a document with a smaller id or, ``by_place``, at
@@ -174,14 +198,14 @@ def repeated_spans(documents: DataFrame, spans, k: int, w: int, by_place: bool)
     mapped = documents.select("doc_id", "text").filter("text is not null").mapInArrow(
         _anchored(spans, k, w, by_place, n_buckets), "bucket int, " + ", ".join(f"{c} binary" for c in COLUMNS)
     )
-    # A slice's own marks come with the first row of each task; they need no partition of their own.
-    kinds = ITEMS | LOCAL
-    found = exchanged(mapped, RUNS, kinds, _extended(k + w - 1, by_place), SPANS, repeat=False)
-    return found.groupBy("doc", "mark").agg(F.collect_list("spans").alias("spans"))
+    runs, spans_of = {"doc": np.int64, "mark": np.uint32}, {"start": np.uint32, "end": np.uint32}
+    reduce = _extended(k + w - 1, by_place, n_buckets)
+    found = exchanged(mapped, RUNS, ITEMS | LOCAL, reduce, packed_schema(runs, spans_of), repeat=False)
+    return exchanged(found, runs, spans_of, _per_text, SPANS)
 
 
 def with_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """``documents`` (doc_id, text) with the pieces of their spans."""
+    """``documents`` (doc_id, text) with their spans."""
     docs = documents.withColumn("_doc", F.coalesce("doc_id", F.lit(int(LAST_ID))))
     docs = docs.mapInArrow(_marked, "doc_id long, text string, _doc long, _mark long")
     on = (docs["_doc"] == found["doc"]) & (docs["_mark"] == found["mark"])
@@ -196,11 +220,11 @@ def _marked(batches):
         yield pa.RecordBatch.from_arrays([*columns, marks], ["doc_id", "text", "_doc", "_mark"])
 
 
-def removed_mask(pieces: list[bytes] | None, n: int) -> np.ndarray | None:
+def removed_mask(spans: bytes | None, n: int) -> np.ndarray | None:
     """Which of n items lie in a span."""
-    if not pieces or not n:
+    if not spans or not n:
         return None
-    spans = np.frombuffer(b"".join(pieces), np.uint32).reshape(-1, 2).astype(np.int64)
+    spans = np.frombuffer(spans, np.uint32).reshape(-1, 2).astype(np.int64)
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, np.minimum(spans[:, 0], n), 1)
     np.add.at(edge, np.minimum(spans[:, 1], n), -1)

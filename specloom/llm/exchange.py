@@ -31,13 +31,18 @@ def packed_schema(runs: dict[str, type], items: dict[str, type]) -> str:
     return ", ".join(["bucket int", "run_items binary", *(f"{n} binary" for n in [*runs, *items])])
 
 
-def pack_through(values: dict[str, np.ndarray], packed: pa.RecordBatch | None, schema: pa.Schema) -> pa.RecordBatch:
-    """Add arrays that the reducer gets as they are, to the first row."""
-    n = max(packed.num_rows if packed else 0, 1)
+def pack_through(values: dict[str, np.ndarray], by: np.ndarray, packed: pa.RecordBatch | None, schema: pa.Schema) -> pa.RecordBatch:
+    """Deal arrays that the reducer gets as they are over the rows, by the hashes ``by``."""
+    n = packed.num_rows if packed else 1
     out = {f.name: packed.column(f.name) if packed and f.name in packed.schema.names else pa.nulls(n, f.type) for f in schema}
     if not packed:
         out["bucket"] = pa.array([0], pa.int32())
-    out |= {k: pa.array([v.tobytes(), *[None] * (n - 1)], pa.binary()) for k, v in values.items()}
+    row = bucket_of(by, n)
+    order = np.argsort(row, kind="stable")
+    cut = np.searchsorted(row[order], np.arange(n + 1))
+    for k, v in values.items():
+        v = v[order]
+        out[k] = pa.array([v[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
     return pa.RecordBatch.from_pydict(out, schema)
 
 

@@ -15,10 +15,10 @@ LINES = 3
 def _kept(batches):
     for part in K.text_slices(batches):
         texts, kept, counts, removed = part.column("text").to_pylist(), [], [], []
-        for text, pieces in zip(texts, part.column("spans").to_pylist()):
+        for text, spans in zip(texts, part.column("spans").to_pylist()):
             lines = (text or "").split("\n")
             filled = [i for i, line in enumerate(lines) if line]
-            mask = removed_mask(pieces, len(filled))
+            mask = removed_mask(spans, len(filled))
             counts.append(len(filled))
             removed.append(0 if mask is None else int(mask.sum()))
             if mask is not None:

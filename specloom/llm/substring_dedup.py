@@ -17,9 +17,9 @@ ANCHOR_WORDS = 5
 def _kept(batches):
     for part in K.text_slices(batches):
         texts, kept, counts, removed = part.column("text").cast(pa.binary()).to_pylist(), [], [], []
-        for text, pieces in zip(texts, part.column("spans").to_pylist()):
+        for text, spans in zip(texts, part.column("spans").to_pylist()):
             words = (text or b"").split()
-            mask = removed_mask(pieces, len(words))
+            mask = removed_mask(spans, len(words))
             counts.append(len(words))
             removed.append(0 if mask is None else int(mask.sum()))
             kept.append(None if text is None else b" ".join(words if mask is None else compress(words, ~mask)))
