@@ -19,6 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from specloom.llm import textkernel as K
 from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, pack_through, packed_schema
@@ -205,19 +206,41 @@ def repeated_spans(documents: DataFrame, spans, k: int, w: int, by_place: bool)
 
 
 def with_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """``documents`` (doc_id, text) with their spans."""
+    """``documents`` (doc_id, text, rest) with their spans."""
     docs = documents.withColumn("_doc", F.coalesce("doc_id", F.lit(int(LAST_ID))))
-    docs = docs.mapInArrow(_marked, "doc_id long, text string, _doc long, _mark long")
+    schema = StructType([*(docs.schema[c] for c in ("rest", "text", "_doc")), StructField("_mark", LongType())])
+    docs = docs.select("rest", "text", "_doc").mapInArrow(_marked, schema)
     on = (docs["_doc"] == found["doc"]) & (docs["_mark"] == found["mark"])
-    return docs.join(found, on, "left").select("doc_id", "text", "spans")
+    return docs.join(found, on, "left").select("rest", "text", "spans")
 
 
 def _marked(batches):
     for part in K.text_slices(batches):
         data, offsets = K.text_buffer(part.column("text"))
         marks = pa.array(text_mark(data, offsets).astype(np.int64))
-        columns = [part.column(c) for c in ("doc_id", "text", "_doc")]
-        yield pa.RecordBatch.from_arrays([*columns, marks], ["doc_id", "text", "_doc", "_mark"])
+        columns = [part.column(c) for c in ("rest", "text", "_doc")]
+        yield pa.RecordBatch.from_arrays([*columns, marks], ["rest", "text", "_doc", "_mark"])
+
+
+def texts_and_rest(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, rest): ``rest`` holds all columns but the text."""
+    rest = F.struct(*[documents[c] for c in documents.columns if c != "text"])
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
+
+
+def rebuilt(documents: DataFrame, docs: DataFrame, found: DataFrame, work, counted: str) -> DataFrame:
+    """The columns of ``documents`` with the new text, and (counted, n_removed) before it; ``work`` makes them."""
+    schema = StructType(
+        [
+            docs.schema["rest"],
+            StructField(counted, LongType()),
+            StructField("n_removed", LongType()),
+            StructField("text", StringType()),
+        ]
+    )
+    new = with_spans(docs, found).mapInArrow(work, schema)
+    rest = [F.col(f"rest.`{c}`").alias(c) for c in documents.columns if c not in ("text", counted, "n_removed")]
+    return new.select(*rest, counted, "n_removed", "text")
 
 
 def removed_mask(spans: bytes | None, n: int) -> np.ndarray | None:

@@ -132,40 +132,46 @@ def _frequencies(shared, n: int):
     return work
 
 
+def _copies(part: pa.RecordBatch, seeds: Seeds, n: int, share: float, long_copy: int) -> dict:
+    """(row, item): score and place of the best copy, for the rows of a slice that have one."""
+    hashes, doc, gram, ok = _grams(part.column("text"), n)
+    at, seed = seeds.hits(gram)
+    at, seed = at[ok[at]], seed[ok[at]]
+    cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
+    # Each hit with every item that has the seed, and where the item would begin.
+    times = seeds.length[seed]
+    at = np.repeat(at, times)
+    begin = np.cumsum(times) - times
+    place = np.arange(int(times.sum())) - np.repeat(begin, times) + np.repeat(seeds.first[seed], times)
+    item, start = seeds.item[place], at - seeds.at[place]
+    order = np.lexsort((start, item, doc[at]))
+    row, item, start = doc[at][order], item[order], start[order]
+    size = np.array([len(w) for w in seeds.words] or [0])[item]
+    head = np.ones(len(row), bool)
+    # Hits whose beginnings lie within an item's length are looked at together.
+    head[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > size[1:])
+    first = np.flatnonzero(head)
+    found: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(row)]):
+        r, i = int(row[a]), int(item[a])
+        words = seeds.words[i]
+        margin = len(words) // 2 + n
+        low = max(int(start[a]) - margin, int(cut[r]))
+        high = min(int(start[b - 1]) + len(words) + margin, int(cut[r + 1]))
+        region = hashes[low:high]
+        score, end = align(words, region)
+        if score >= MATCH * min(share * len(words), long_copy):
+            back, length = align(words[::-1], region[:end][::-1])
+            if score > found.get((r, i), (-1,))[0]:
+                found[r, i] = score, low + end - length - int(cut[r]), low + end - int(cut[r])
+    return found
+
+
 def _aligned(shared, n: int, share: float, long_copy: int):
     def work(batches):
         seeds = shared.value
         for part in K.text_slices(batches):
-            hashes, doc, gram, ok = _grams(part.column("text"), n)
-            at, seed = seeds.hits(gram)
-            at, seed = at[ok[at]], seed[ok[at]]
-            cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            # Each hit with every item that has the seed, and where the item would begin.
-            times = seeds.length[seed]
-            at = np.repeat(at, times)
-            begin = np.cumsum(times) - times
-            place = np.arange(int(times.sum())) - np.repeat(begin, times) + np.repeat(seeds.first[seed], times)
-            item, start = seeds.item[place], at - seeds.at[place]
-            order = np.lexsort((start, item, doc[at]))
-            row, item, start = doc[at][order], item[order], start[order]
-            size = np.array([len(w) for w in seeds.words] or [0])[item]
-            head = np.ones(len(row), bool)
-            # Hits whose beginnings lie within an item's length are looked at together.
-            head[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > size[1:])
-            first = np.flatnonzero(head)
-            found: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(row)]):
-                r, i = int(row[a]), int(item[a])
-                words = seeds.words[i]
-                margin = len(words) // 2 + n
-                low = max(int(start[a]) - margin, int(cut[r]))
-                high = min(int(start[b - 1]) + len(words) + margin, int(cut[r + 1]))
-                region = hashes[low:high]
-                score, end = align(words, region)
-                if score >= MATCH * min(share * len(words), long_copy):
-                    back, length = align(words[::-1], region[:end][::-1])
-                    if score > found.get((r, i), (-1,))[0]:
-                        found[r, i] = score, low + end - length - int(cut[r]), low + end - int(cut[r])
+            found = _copies(part, seeds, n, share, long_copy)
             if found:
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -180,6 +186,17 @@ def _aligned(shared, n: int, share: float, long_copy: int):
     return work
 
 
+def _clean(shared, n: int, share: float, long_copy: int):
+    def work(batches):
+        seeds = shared.value
+        for part in K.text_slices(batches):
+            keep = np.ones(part.num_rows, bool)
+            keep[[r for r, _ in _copies(part, seeds, n, share, long_copy)]] = False
+            yield part.filter(pa.array(keep))
+
+    return work
+
+
 COPIES = "doc_id long, item_id long, score double, first_word long, end_word long"
 
 
@@ -195,22 +212,37 @@ def benchmark_copies(
     come out as often. Each item of a repeated item_id counts on its own.
     Other columns are not looked at.
     """
-    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.filter("text is not null")
+    found = documents.sparkSession.createDataFrame([], COPIES)
+    for rare in _rare_seeds(docs, benchmark, gram, few):
+        found = found.unionByName(docs.mapInArrow(_aligned(rare, gram, share, long_copy), COPIES))
+    return found
+
+
+def without_copies(
+    documents: DataFrame, benchmark: DataFrame, gram: int = GRAM, few: int = FEW, share: float = SHARE, long_copy: int = LONG_COPY
+) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that have no copy of a test item."""
+    for rare in _rare_seeds(documents, benchmark, gram, few):
+        documents = documents.mapInArrow(_clean(rare, gram, share, long_copy), documents.schema)
+    return documents
+
+
+def _rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, few: int) -> list:
+    """The rare seeds of each block of test items, for the executors."""
+    context = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("text is not null")
     n_bytes = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-n_bytes // BLOCK_BYTES)
-    found = spark.createDataFrame([], COPIES)
+    out = []
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         seeds = Seeds([tuple(r) for r in own.collect()], gram)
-        shared = spark.sparkContext.broadcast(seeds)
-        counted = docs.select("text").mapInArrow(_frequencies(shared, gram), "seed long, df long")
+        counted = docs.select("text").mapInArrow(_frequencies(context.broadcast(seeds), gram), "seed long, df long")
         df = np.zeros(len(seeds.gram), np.int64)
         for seed, n in counted.groupBy("seed").agg(F.sum("df")).collect():  # as many rows as the block has seeds
             df[seed] = n
-        rare = spark.sparkContext.broadcast(seeds.rare(df, few))
-        found = found.unionByName(docs.mapInArrow(_aligned(rare, gram, share, long_copy), COPIES))
-    return found
+        out.append(context.broadcast(seeds.rare(df, few)))
+    return out

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm import textkernel as K
-from specloom.llm.anchors import removed_mask, repeated_spans, with_spans
+from specloom.llm.anchors import rebuilt, removed_mask, repeated_spans, texts_and_rest
 
 # The shortest run of lines that counts as a repeat.
 LINES = 3
@@ -27,7 +27,7 @@ def _kept(batches):
             kept.append(text)
         yield pa.RecordBatch.from_pydict(
             {
-                "doc_id": part.column("doc_id"),
+                "rest": part.column("rest"),
                 "n_lines": pa.array(counts, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "text": pa.array(kept, pa.string()),
@@ -36,7 +36,7 @@ def _kept(batches):
 
 
 def line_dedup(documents: DataFrame, lines: int = LINES) -> DataFrame:
-    """(doc_id, n_lines, n_removed, text): each row of ``documents`` without later repeated runs of lines.
+    """(doc_id, n_lines, n_removed, text, and any other columns): each row of ``documents`` without later repeated runs of lines.
 
     Lines end at a line feed; empty ones aren't counted and stay. A line goes
     if it lies in ``lines`` consecutive lines that also start at a smaller
@@ -44,13 +44,14 @@ def line_dedup(documents: DataFrame, lines: int = LINES) -> DataFrame:
     input. So the first of several copies keeps its lines. A text all of whose
     lines go becomes empty; its row stays. Null text stays null; rows without a doc_id
     come after all others, as one document; repeated rows are treated alike.
-    Other columns are not looked at.
+    Other columns stay, but one named
+    n_lines or n_removed.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = texts_and_rest(documents)
     found = repeated_spans(docs, K.line_spans, 1, lines, by_place=True)
-    return with_spans(docs, found).mapInArrow(_kept, "doc_id long, n_lines long, n_removed long, text string")
+    return rebuilt(documents, docs, found, _kept, "n_lines")
 
 
 def line_digest(documents: DataFrame) -> DataFrame:
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return line_dedup(documents).select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+    return line_dedup(documents.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))

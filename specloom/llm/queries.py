@@ -9,6 +9,7 @@ from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.line_dedup import line_digest
 from specloom.llm.merge_dropout import encode
 from specloom.llm.substring_dedup import substring_digest
+from specloom.llm.toxicity import toxicity
 from specloom.session import ship_package
 
 QUERIES = {}
@@ -32,6 +33,11 @@ def op1_line_dedup(spark, sf_dir):
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("features")
+
+
 @query
 def op3_sentencepiece_merge_dropout(spark, sf_dir):
     return encode(table(spark, sf_dir, "documents"), check=True)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm import textkernel as K
-from specloom.llm.anchors import removed_mask, repeated_spans, with_spans
+from specloom.llm.anchors import rebuilt, removed_mask, repeated_spans, texts_and_rest
 
 WORDS = 13
 ANCHOR_WORDS = 5
@@ -25,7 +25,7 @@ def _kept(batches):
             kept.append(None if text is None else b" ".join(words if mask is None else compress(words, ~mask)))
         yield pa.RecordBatch.from_pydict(
             {
-                "doc_id": part.column("doc_id"),
+                "rest": part.column("rest"),
                 "n_words": pa.array(counts, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "text": pa.array(kept, pa.binary()).cast(pa.string()),
@@ -34,21 +34,22 @@ def _kept(batches):
 
 
 def substring_dedup(documents: DataFrame, words: int = WORDS, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
-    """(doc_id, n_words, n_removed, text): each row of ``documents`` with its repeated stretches removed.
+    """(doc_id, n_words, n_removed, text, and any other columns): each row of ``documents`` with its repeated stretches removed.
 
     A word goes if it lies in a window of ``words`` words that also starts in
     a document with a smaller doc_id; windows are judged on the input. ``text``
     has the kept words joined by one space. Null text stays null (no words);
     rows without a doc_id come after all others and not before each other;
     rows of one doc_id don't count against each other; repeated rows are
-    treated alike. Other columns are not looked at.
+    treated alike. Other columns stay, but one named
+    n_words or n_removed.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = texts_and_rest(documents)
     found = repeated_spans(docs, K.word_spans, anchor_words, words - anchor_words + 1, by_place=False)
-    return with_spans(docs, found).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
+    return rebuilt(documents, docs, found, _kept, "n_words")
 
 
 def substring_digest(documents: DataFrame) -> DataFrame:
     """The digest of ``substring_dedup``: null text counts as empty."""
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return substring_dedup(documents).select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+    return substring_dedup(documents.select("doc_id", "text")).select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
