@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4_000_000
+PIECE_BYTES = 200_000
 U64 = np.uint64
 
 
@@ -79,14 +80,23 @@ def _spans(inside: np.ndarray, offsets: np.ndarray):
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span (none is empty)."""
-    if not len(starts):
-        return np.zeros(0, U64)
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    where = np.arange(int(lengths.sum()))
-    values = BYTE_CODES[data[where + np.repeat(starts - first, lengths)]]
-    values *= powers(int(lengths.max()))[where - np.repeat(first, lengths)]
-    return mix(np.add.reduceat(values, first) + lengths.astype(U64))
+    total = np.cumsum(lengths)
+    out = np.empty(len(starts), U64)
+    weights = powers(int(lengths.max(initial=1)))
+    at = 0
+    while at < len(starts):  # a piece at a time: small arrays stay in the cache
+        base = total[at] - lengths[at]
+        to = max(int(np.searchsorted(total, base + PIECE_BYTES, "right")), at + 1)
+        size = lengths[at:to]
+        first = total[at:to] - size - base
+        where = np.arange(int(total[to - 1] - base), dtype=np.int32)
+        place = where - np.repeat(first, size).astype(np.int32)
+        values = BYTE_CODES[data[where + np.repeat(starts[at:to] - first, size)]]
+        values *= weights[place]
+        out[at:to] = np.add.reduceat(values, first)
+        at = to
+    return mix(out + lengths.astype(U64))
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
