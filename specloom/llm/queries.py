@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from specloom.llm.decontaminate import benchmark_copies
 from specloom.llm.jaccard_join import jaccard_classes
+from specloom.llm.language_id import identify_languages
 from specloom.llm.line_dedup import line_digest
 from specloom.llm.merge_dropout import encode
 from specloom.llm.substring_dedup import substring_digest
@@ -58,6 +59,11 @@ def op8_ngram_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language_id(spark, sf_dir):
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 # {items}: a list of each text's items; {n}: items of a window; {later}: that a window starts earlier; {join}: what joins items.
