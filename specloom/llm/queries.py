@@ -9,6 +9,7 @@ from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.language_id import identify_languages
 from specloom.llm.line_dedup import line_digest
 from specloom.llm.merge_dropout import encode
+from specloom.llm.pii import pseudonymise
 from specloom.llm.substring_dedup import substring_digest
 from specloom.llm.toxicity import toxicity
 from specloom.session import ship_package
@@ -64,6 +65,11 @@ def op9_language_id(spark, sf_dir):
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_pii_pseudonyms(spark, sf_dir):
+    return pseudonymise(table(spark, sf_dir, "documents"))
+
+
 WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 # {items}: a list of each text's items; {n}: items of a window; {later}: that a window starts earlier; {join}: what joins items.
