@@ -12,6 +12,7 @@ from specloom.llm.merge_dropout import encode
 from specloom.llm.pii import pseudonymise
 from specloom.llm.substring_dedup import substring_digest
 from specloom.llm.toxicity import toxicity
+from specloom.llm.url_trust import url_verdicts
 from specloom.session import ship_package
 
 QUERIES = {}
@@ -50,6 +51,11 @@ def op5_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_url_trust(spark, sf_dir):
+    return url_verdicts(table(spark, sf_dir, "pages")).drop("trust", "distrust")
+
+
 @query
 def op7_benchmark_decontamination(spark, sf_dir):
     return benchmark_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
