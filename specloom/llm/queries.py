@@ -9,6 +9,7 @@ from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.language_id import identify_languages
 from specloom.llm.line_dedup import line_digest
 from specloom.llm.merge_dropout import encode
+from specloom.llm.nn_descent import nearest_neighbours
 from specloom.llm.pii import pseudonymise
 from specloom.llm.substring_dedup import substring_digest
 from specloom.llm.toxicity import toxicity
@@ -46,6 +47,11 @@ def op3_sentencepiece_merge_dropout(spark, sf_dir):
     return encode(table(spark, sf_dir, "documents"), check=True)
 
 
+@query
+def op4_nn_descent(spark, sf_dir):
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
