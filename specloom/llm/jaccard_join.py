@@ -339,7 +339,7 @@ def _may_link(a, left, right, percent: int):
     left, right = left[some], right[some]
     differ = a["single"][left] + a["single"][right]
     for i in range(4):
-        differ += np.bitwise_count(a[f"s{i}"][left] ^ a[f"s{i}"][right])
+        differ += np.bitwise_count((a[f"s{i}"][left] ^ a[f"s{i}"][right]).view(U64))  # of signed numbers it counts another thing
     # common <= (size of both - differing items) / 2
     both = a["n"][left] + a["n"][right]
     may[some] = 100 * (both - differ) >= percent * (both + differ)
