@@ -25,8 +25,10 @@ GRAM = 3
 # Documents that may hold a rare seed, whatever the item's other seeds.
 FEW = 20
 # Share of the best possible score, or of words in a row, that counts as a copy.
-SHARE = 0.5
+SHARE = 0.4
 LONG_COPY = 40
+# Words that a copy has at least (or four fifths of a shorter item): a few in a row can be chance.
+LEAST_WORDS = 10
 # Text of test items in one block, in bytes.
 BLOCK_BYTES = 16_000_000
 MATCH, OTHER = 2, -1
@@ -160,7 +162,7 @@ def _copies(part: pa.RecordBatch, seeds: Seeds, n: int, share: float, long_copy:
         high = min(int(start[b - 1]) + len(words) + margin, int(cut[r + 1]))
         region = hashes[low:high]
         score, end = align(words, region)
-        if score >= MATCH * min(share * len(words), long_copy):
+        if score >= MATCH * min(max(share * len(words), min(LEAST_WORDS, 0.8 * len(words))), long_copy):
             back, length = align(words[::-1], region[:end][::-1])
             if score > found.get((r, i), (-1,))[0]:
                 found[r, i] = score, low + end - length - int(cut[r]), low + end - int(cut[r])
@@ -206,7 +208,8 @@ def benchmark_copies(
     """(doc_id, item_id, score, first_word, end_word): documents with a copy of a test item, and its best place.
 
     A copy is an alignment with at least ``share`` of the score of the whole
-    item, or that of ``long_copy`` words in a row. Words are runs of letters
+    item (and that of ``LEAST_WORDS`` words in a row), or that of
+    ``long_copy`` words in a row. Words are runs of letters
     and digits. Null texts and items, and items of fewer than ``gram`` words,
     match nothing. Rows without a doc_id come out with null. Rows that repeat
     come out as often. Each item of a repeated item_id counts on its own.
