@@ -228,7 +228,8 @@ def without_copies(
 ) -> DataFrame:
     """The rows of ``documents``, with all their columns, that have no copy of a test item."""
     for rare in _rare_seeds(documents, benchmark, gram, few):
-        documents = documents.mapInArrow(_clean(rare, gram, share, long_copy), documents.schema)
+        rows = documents.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+        documents = rows.mapInArrow(_clean(rare, gram, share, long_copy), rows.schema).select("row.*")
     return documents
 
 

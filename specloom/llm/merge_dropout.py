@@ -311,7 +311,7 @@ def encode(
 
     def work(batches):
         pieces = pieces_of(shared.value)
-        for part in K.text_slices(batches, limit=4_000_000):
+        for part in K.text_slices(batches, limit=3_000_000):
             raw = part.column("text").cast(pa.binary())
             texts = [x or b"" for x in raw.to_pylist()]
             doc_keys = K.mix(part.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(U64))

@@ -11,10 +11,10 @@ from specloom.llm.line_dedup import line_digest
 from specloom.llm.merge_dropout import encode
 from specloom.llm.nn_descent import nearest_neighbours
 from specloom.llm.pii import pseudonymise
+from specloom.llm.runtime import prepared
 from specloom.llm.substring_dedup import substring_digest
 from specloom.llm.toxicity import toxicity
 from specloom.llm.url_trust import url_verdicts
-from specloom.session import ship_package
 
 QUERIES = {}
 
@@ -25,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def query(fn):
     def run(spark, sf_dir) -> DataFrame:
-        ship_package(spark)
-        return fn(spark, sf_dir)
+        return fn(prepared(spark), sf_dir)
 
     QUERIES[fn.__name__] = run
     return run

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 PIECE_BYTES = 200_000
 U64 = np.uint64
 
