@@ -8,8 +8,9 @@ from specloom.llm.decontaminate import without_copies
 from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.line_dedup import line_dedup
 from specloom.llm.merge_dropout import encode
+from specloom.llm.runtime import prepared
 from specloom.llm.toxicity import without_toxic
-from specloom.session import materialise, ship_package
+from specloom.session import materialise
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,13 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator doesn't reject."""
-    ship_package(spark)
+    prepared(spark)
     return without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later repeated runs of lines; n_chars follows the text."""
-    ship_package(spark)
+    prepared(spark)
     new = line_dedup(docs).drop("n_lines", "n_removed")
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -37,7 +38,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows repeated under one doc_id are one document, so one of them stays.
     Documents without words stay, and so do rows without a doc_id.
     """
-    ship_package(spark)
+    prepared(spark)
     classes = materialise(jaccard_classes(docs), "pipeline-classes")
     gone = classes.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -50,13 +51,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy of a benchmark item."""
-    ship_package(spark)
+    prepared(spark)
     return without_copies(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) of each document."""
-    ship_package(spark)
+    prepared(spark)
     return encode(docs, check=True)
 
 
