@@ -321,6 +321,7 @@ def tanimoto(features: str, min_score: float) -> dict[str, str]:
         "f": f"select distinct key, cast(feature % 2048 as int) as feature from ({features})",
         "sets": "select key, count(*) as n, string_agg(feature, ',' order by feature) as t from f group by key",
         "reps": "select t, min(key) as key, min(n) as n from sets group by t",
+        "members": "select sets.key, reps.key as rep from sets join reps using (t)",
         "shared": """select a.key as key_a, b.key as key_b, count(*) as s from f a join f b using (feature)
           where a.key in (select key from reps) and b.key in (select key from reps) group by all""",
         "scores": f"""select * from (select a.key as key_a, b.key as key_b,
@@ -333,14 +334,15 @@ PART_KEY = "substring(md5(p_brand || p_type), 1, 14)"
 SUPPLIER_FEATURES = "select cast(l_suppkey as varchar) as key, l_partkey as feature from lineitem"
 oracle(
     "labelled_pairs",
-    """select spectrum_id as spectrum_a, spectrum_b, score_bin, score from parts join drawn on key = key_a join speakers using (key_b)""",
+    """select a.spectrum_id as spectrum_a, s.spectrum_id as spectrum_b, score_bin, score from named a join drawn on a.rep = key_a
+      join speakers s on s.rep = key_b and s.turn = cast('0x' || substring(md5('100|' || a.spectrum_id || '|' || key_b), 1, 8) as bigint) % s.n""",
     **tanimoto(f"select {PART_KEY} as key, l_suppkey as feature from lineitem join part on l_partkey = p_partkey", 0),
-    parts=f"select 'PT' || lpad(cast(p_partkey as varchar), 9, '0') as spectrum_id, {PART_KEY} as key from part",
+    named=f"""select 'PT' || lpad(cast(p_partkey as varchar), 9, '0') as spectrum_id, rep from part join members on key = {PART_KEY}""",
     drawn="""select key_a, key_b, score, score_bin from (select *, row_number() over (partition by key_a, score_bin
       order by md5('100|' || key_a || '|' || key_b), key_b) as r
       from (select *, cast(least(floor(score * 10), 9) as int) as score_bin from scores)) where r = 1""",
-    speakers="""select key as key_b, spectrum_id as spectrum_b from (select *, row_number() over (partition by key
-      order by md5('100|' || spectrum_id), spectrum_id) as r from parts) where r = 1""",
+    speakers="""select *, count(*) over (partition by rep) as n from (select *, row_number() over (partition by rep
+      order by md5('100|' || spectrum_id), spectrum_id) - 1 as turn from named) where turn < 8""",
 )
 
 # Similarity
@@ -371,7 +373,12 @@ oracle(
       from lineitem join supplier on l_suppkey = s_suppkey""",
     sizes="select nation, count(distinct feature) as n from own group by nation",
 )
-oracle("tanimoto_matrix", "select key_a, key_b, score from scores", **tanimoto(SUPPLIER_FEATURES, 0.15))
+oracle(
+    "tanimoto_matrix",
+    """select key_a, key_b, score from scores union all select key, rep, 1 from members where key <> rep
+      union all select rep, key, 1 from members where key <> rep""",
+    **tanimoto(SUPPLIER_FEATURES, 0.15),
+)
 oracle(
     "fingerprint_bitmap",
     """select w.key, cast(word as int) as word, count(feature) as n_bits,
@@ -464,7 +471,7 @@ ALL_VECTORS = {
 }
 oracle(
     "spec2vec_index",
-    f"select 'spec2vec' as project, ion_mode, spectrum_id, {r6('v[1]')} as first from docs join clean using (spectrum_id) where ion_mode = 'positive'",
+    f"select 'spec2vec' as project, ion_mode, spectrum_id, {r6('v[1]')} as first, cast(1 as bigint) as n_stored from docs join clean using (spectrum_id) where ion_mode = 'positive'",
     **ALL_VECTORS,
 )
 oracle(

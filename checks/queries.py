@@ -208,7 +208,7 @@ def write_binned(spark, sf):
     unpowered = t.processed(spark, sf).filter(F.col("ion_mode") == "negative").transform(binning.bin_peaks, 100, 1.0)
     batch = unpowered.select(*table.columns, F.lit(0).alias("pos"))
     merged = store.write_binned(table, batch, ["pos"])
-    return _bin_rows(merged, "ion_mode")
+    return _bin_rows(materialise(merged, "binned-store"), "ion_mode")
 
 
 @query
@@ -518,8 +518,9 @@ def spectra_for_keys(spark, sf):
 
 @query
 def labelled_pairs(spark, sf):
-    scores = structures.tanimoto_matrix(structures.fingerprint_bitmap(t.part_features(spark, sf)))
-    return structures.labelled_pairs(t.part_structures(spark, sf), scores)
+    fingerprints = materialise(structures.fingerprint_bitmap(t.part_features(spark, sf)), "fingerprints")
+    scores, members = structures.tanimoto_matrix(fingerprints), structures.copy_members(fingerprints)
+    return structures.labelled_pairs(t.part_structures(spark, sf), scores, members)
 
 
 # Similarity
@@ -561,8 +562,9 @@ def tanimoto_pair(spark, sf):
 
 @query
 def tanimoto_matrix(spark, sf):
-    fingerprints = structures.fingerprint_bitmap(t.supplier_features(spark, sf))
-    return structures.tanimoto_matrix(fingerprints, 0.15)
+    fingerprints = materialise(structures.fingerprint_bitmap(t.supplier_features(spark, sf)), "fingerprints")
+    scores = structures.tanimoto_matrix(fingerprints, 0.15)
+    return structures.with_copies(scores, structures.copy_members(fingerprints))
 
 
 @query
@@ -734,16 +736,13 @@ def _library_word_vectors(spark, sf):
 
 @query
 def spec2vec_index(spark, sf):
-    indexed = spec2vec.spec2vec_index(
-        spark,
-        t.spectra(spark, sf),
-        _library_word_vectors(spark, sf),
-        "positive",
-        new_path(spark, "library"),
-        new_path(spark, "embeddings"),
-        dim=t.WORD_DIM,
-    )
-    return _first(indexed)
+    """Indexed twice, with an empty run in between; the library's ids are counted."""
+    paths = new_path(spark, "library"), new_path(spark, "embeddings")
+    vectors, spectra = _library_word_vectors(spark, sf), t.spectra(spark, sf)
+    for batch in (spectra, spectra.limit(0), spectra):
+        indexed = spec2vec.spec2vec_index(spark, batch, vectors, "positive", *paths, dim=t.WORD_DIM)
+    stored = spark.read.parquet(paths[0]).groupBy("spectrum_id").agg(F.count("*").alias("n_stored"))
+    return _first(indexed).join(stored, "spectrum_id", "left")
 
 
 @query
@@ -783,15 +782,9 @@ def ms2ds_prepare(spark, sf):
 @query
 def ms2ds_index(spark, sf):
     binned = t.binned(spark, sf, 100)
-    indexed = ms2ds.ms2ds_index(
-        spark,
-        binned,
-        binning.fit_bin_vocabulary(binned),
-        network(100),
-        "negative",
-        new_path(spark, "embeddings"),
-        100,
-    )
+    vocabulary, path = binning.fit_bin_vocabulary(binned), new_path(spark, "embeddings")
+    for batch in (binned, binned.limit(0), binned):
+        indexed = ms2ds.ms2ds_index(spark, batch, vocabulary, network(100), "negative", path, 100)
     return _vector_rows(indexed, "project", "ion_mode")
 
 

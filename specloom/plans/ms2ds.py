@@ -21,7 +21,7 @@ from specloom.operators.structures import (
     with_structure_key,
 )
 from specloom.session import materialise
-from specloom.sources.datasets import replace_partitions
+from specloom.sources.store import replace_embeddings
 
 PROJECT = "ms2deepscore"
 
@@ -85,10 +85,7 @@ def ms2ds_index(
     embedded = embed_binned(mine, vocabulary, layers, n_bins).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
-    replace_partitions(embedded, embeddings_path, ("project", "ion_mode"))
-    return spark.read.parquet(embeddings_path).filter(
-        (F.col("project") == PROJECT) & (F.col("ion_mode") == ion_mode)
-    )
+    return replace_embeddings(spark, embedded, embeddings_path, PROJECT, ion_mode)
 
 
 def ms2ds_search(
@@ -96,7 +93,7 @@ def ms2ds_search(
     refs: DataFrame,
     mz_range: float = 1.0,
     n_best_spectra: int | None = DEFAULT_N_BEST,
-    on_empty: str = "drop",
+    on_empty: str = "raise",
     by: tuple[str, ...] = ("ion_mode",),
     metadata: DataFrame | None = None,
     include_metadata: list[str] | None = None,
@@ -106,7 +103,7 @@ def ms2ds_search(
 
     ``queries`` also holds ``request_id``. Each query meets its request's
     distinct candidates only, also a query that has none of its own; crowded
-    requests are cut into blocks.
+    requests are cut into blocks. A query without own candidates raises, by default.
     """
     if on_empty == "raise":
         plain = queries.select("query_id", "query_mz", "request_id", *by)

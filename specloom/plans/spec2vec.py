@@ -16,8 +16,8 @@ from specloom.operators.ranking import DEFAULT_N_BEST, attach_metadata
 from specloom.operators.similarity import BLOCK_ROWS, blockwise_best
 from specloom.plans.library import prepare_library
 from specloom.session import materialise
-from specloom.sources.datasets import replace_partitions
-from specloom.sources.store import new_rows
+from specloom.sources.datasets import path_exists
+from specloom.sources.store import new_rows, replace_embeddings
 
 PROJECT = "spec2vec"
 
@@ -53,23 +53,25 @@ def spec2vec_index(
     ion_mode: str,
     spectra_path: str,
     embeddings_path: str,
-    store: DataFrame | None = None,
     **embedding,
 ) -> DataFrame:
     """Append unknown spectra to the library and replace one ion mode's embeddings.
 
-    The other partitions of both tables are not touched.
+    Known ids are looked up in the library at ``spectra_path``, so a second run
+    adds nothing. The ion mode's old embeddings go first: what can no longer be
+    embedded does not stay. The other partitions of both tables are not touched.
     """
     mine = spectra.filter(F.col("ion_mode") == ion_mode)
-    fresh = mine if store is None else new_rows(mine, store)
+    if path_exists(spark, spectra_path):
+        stored = spark.read.schema(mine.schema).parquet(spectra_path)
+    else:
+        stored = mine.limit(0)
+    fresh = materialise(new_rows(mine, stored), "new-spectra")
     fresh.write.mode("append").partitionBy("ion_mode").parquet(spectra_path)
     embedded = embed_spectra(mine, word_vectors, **embedding).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
-    replace_partitions(embedded, embeddings_path, ("project", "ion_mode"))
-    return spark.read.parquet(embeddings_path).filter(
-        (F.col("project") == PROJECT) & (F.col("ion_mode") == ion_mode)
-    )
+    return replace_embeddings(spark, embedded, embeddings_path, PROJECT, ion_mode)
 
 
 def spec2vec_search(
@@ -77,7 +79,7 @@ def spec2vec_search(
     refs: DataFrame,
     mz_range: float = 1.0,
     n_best_spectra: int | None = DEFAULT_N_BEST,
-    on_empty: str = "drop",
+    on_empty: str = "raise",
     by: tuple[str, ...] = ("ion_mode",),
     metadata: DataFrame | None = None,
     include_metadata: list[str] | None = None,
@@ -88,7 +90,7 @@ def spec2vec_search(
     ``queries`` holds query_id, query_mz, query_vector and the ``by`` columns,
     ``refs`` the same with ``ref_``. Both sides carry their vectors through one
     shuffle on (by, m/z bucket); scoring and the first cut to n happen where
-    they meet.
+    they meet. A query without candidates raises, by default.
     """
     if on_empty == "raise":
         pairs = candidate_pairs(

@@ -31,6 +31,7 @@ def build_session(app_name: str = "specloom", master: str | None = None, **setti
 
 
 _shipped: set[str] = set()
+_local_dirs: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -50,13 +51,18 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (as on a laptop) is a local one set.
+    Only a session on one machine (as on a laptop) may name none; then a local
+    folder is set. On a cluster executors would each write to their own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="specloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        application = spark.sparkContext.applicationId
+        if application not in _local_dirs:
+            _local_dirs[application] = tempfile.mkdtemp(prefix="specloom-")
+            spark.sparkContext.setCheckpointDir(_local_dirs[application])
+        folder = _local_dirs[application]
     return folder.rstrip("/")
 
 
@@ -65,11 +71,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/specloom/{name}-{uuid.uuid4().hex}"
 
 
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what ``materialise`` and ``new_path`` left; call it when no frame made from it is in use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/specloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: the result survives lost executors, is computed once
     however often it is used, and carries Parquet statistics for the optimizer.
+    The files stay until ``remove_intermediates``, or until the folder's owner clears it.
     """
     spark = df.sparkSession
     path = new_path(spark, name)

@@ -24,6 +24,11 @@ def _file_system(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _file_system(spark, path)
+    return fs.exists(jpath)
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """The number of the last version that was written to its end."""
     root, fs = _file_system(spark, path)
@@ -73,8 +78,32 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     )
 
 
+def _partition_columns(fs, root) -> list[str]:
+    """The partition columns of a table, in the order of its folders; emptied folders tell none."""
+    deepest: list[str] = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            columns = [name.split("=")[0], *_partition_columns(fs, status.getPath())]
+            deepest = max(deepest, columns, key=len)
+    return deepest
+
+
 def drop_partition(spark: SparkSession, path: str, **values: str) -> None:
-    """Remove one partition's files; nothing happens when it does not exist."""
-    folder = "/".join([path, *[f"{name}={value}" for name, value in values.items()]])
+    """Remove one partition's files; nothing happens when it does not exist.
+
+    A value is needed for every partition column, in any order: fewer would
+    remove more than one partition.
+    """
+    root, fs = _file_system(spark, path)
+    if not fs.exists(root):
+        return
+    columns = _partition_columns(fs, root)
+    if set(columns) < set(values):  # all such partitions are gone
+        return
+    if set(columns) != set(values):
+        raise ValueError(f"{path} is partitioned by {columns}; values were given for {sorted(values)}")
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = "/".join([path, *[f"{name}={escape(str(values[name]))}" for name in columns]])
     jpath, fs = _file_system(spark, folder)
     fs.delete(jpath, True)

@@ -83,13 +83,22 @@ def read_library_mgf(spark: SparkSession, paths) -> DataFrame:
             number(F.get(parts, F.lit(0))).alias("mz"), number(F.get(parts, F.lit(1))).alias("intensity")
         )
 
+    def last_of_each_key(entries):
+        """A repeated key keeps its last value."""
+        place = lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i"))
+        placed = F.transform(entries, place)
+        later = lambda e: F.exists(F.slice(entries, e["i"] + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+        kept = F.filter(placed, lambda e: ~later(e))
+        return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+
     parsed = (
         blocks.filter(F.contains("value", F.lit(MGF_BEGIN)))
         .select(lines.alias("lines"))
         .select(
-            F.map_from_entries(
-                F.transform(F.filter("lines", lambda x: x.rlike("^[A-Za-z_][^=]*=")), entry)
-            ).alias("metadata"),
+            "lines", F.transform(F.filter("lines", lambda x: x.rlike("^[A-Za-z_][^=]*=")), entry).alias("entries")
+        )
+        .select(
+            last_of_each_key(F.col("entries")).alias("metadata"),
             F.sort_array(F.transform(F.filter("lines", lambda x: x.rlike(numbers)), peak)).alias("peaks"),
         )
     )
@@ -143,7 +152,8 @@ def write_library_mgf(spectra: DataFrame, path: str) -> None:
 
 
 def library_ids(raw: DataFrame) -> DataFrame:
-    return raw.select("spectrum_id")
+    """The library's own ids, ``SpectrumID``, as ``read_by_ids`` takes them."""
+    return raw.select(F.col("SpectrumID").alias("spectrum_id"))
 
 
 def read_by_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:

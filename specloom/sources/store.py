@@ -7,9 +7,11 @@ additions, appended.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.schema import check_ion_mode
+from specloom.session import materialise
+from specloom.sources.datasets import drop_partition
 
 
 def latest_per_id(batch: DataFrame, order_by: list[str], key: str = "spectrum_id") -> DataFrame:
@@ -32,8 +34,14 @@ def _ids(df: DataFrame, key: str = "spectrum_id") -> DataFrame:
 
 
 def new_rows(batch: DataFrame, store: DataFrame, key: str = "spectrum_id") -> DataFrame:
-    """The batch's rows whose id is not stored: what an append has to write."""
-    return batch.join(_ids(store, key), key, "left_anti").select(*batch.columns)
+    """One row of the batch for each id that is not stored: what an append has to write.
+
+    Of rows that repeat an id the one with the smallest hash counts; where the
+    order of writing matters, apply ``latest_per_id`` first.
+    """
+    fresh = batch.join(_ids(store, key), key, "left_anti").select(*batch.columns)
+    texts = [F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in batch.dtypes]
+    return latest_per_id(fresh.withColumn("_order", -F.xxhash64(*texts)), ["_order"], key).drop("_order")
 
 
 def cache_new_spectra(
@@ -109,3 +117,12 @@ def delete_embeddings(embeddings: DataFrame, project: str, ion_mode: str) -> Dat
     return embeddings.filter(
         ~((F.col("project") == project) & (F.col("ion_mode") == check_ion_mode(ion_mode)))
     )
+
+
+def replace_embeddings(spark: SparkSession, embedded: DataFrame, path: str, project: str, ion_mode: str) -> DataFrame:
+    """Put ``embedded`` in place of one project's embeddings of one ion mode, also if it is empty."""
+    embedded = materialise(embedded, "embeddings")
+    drop_partition(spark, path, project=project, ion_mode=ion_mode)
+    embedded.write.mode("append").partitionBy("project", "ion_mode").parquet(path)
+    stored = spark.read.schema(embedded.schema).parquet(path)
+    return stored.filter((F.col("project") == project) & (F.col("ion_mode") == ion_mode))

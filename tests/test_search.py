@@ -60,7 +60,7 @@ def in_window(q, r, width):
 def test_windowed_search_equals_brute_force(spark, block_rows):
     queries, refs = random_rows(60, "q", 1), random_rows(150, "r", 2)
     got = spec2vec_search(
-        side(spark, queries, "query"), side(spark, refs, "ref"), 1.0, 5, block_rows=block_rows
+        side(spark, queries, "query"), side(spark, refs, "ref"), 1.0, 5, "drop", block_rows=block_rows
     )
     expected = brute_force(queries, lambda q: [r for r in refs if in_window(q, r, 1.0)], 5)
     assert pairs(got, "query_id", "ref_id", "score", "rank") == expected
@@ -74,7 +74,7 @@ def test_request_search_equals_brute_force(spark, block_rows):
         mates = [p for p in queries if p[4] == q[4]]
         return [r for r in refs if r[3] == q[3] and any(in_window(p, r, 0.5) for p in mates)]
 
-    got = ms2ds_search(side(spark, queries, "query"), side(spark, refs, "ref"), 0.5, 4, block_rows=block_rows)
+    got = ms2ds_search(side(spark, queries, "query"), side(spark, refs, "ref"), 0.5, 4, "drop", block_rows=block_rows)
     assert pairs(got, "query_id", "ref_id", "score", "rank") == brute_force(queries, allowed, 4)
 
 

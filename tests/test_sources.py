@@ -28,7 +28,7 @@ def test_json_lines_and_arrays_per_line(spark, tmp_path):
     first, second, _ = df.orderBy("spectrum_id").collect()
     assert (first["scan"], first["scan_no"]) == ("1", "2")
     assert second["Precursor_MZ"] == "800.5"
-    assert column(library.library_ids(df), "spectrum_id") == ["a", "b", "c"]
+    assert column(library.library_ids(df.withColumn("SpectrumID", F.upper("spectrum_id"))), "spectrum_id") == ["A", "B", "C"]
 
 
 def test_json_refuses_what_it_cannot_read_whole(spark, tmp_path):
