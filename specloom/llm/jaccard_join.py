@@ -17,9 +17,9 @@ and no posting list is cut.
    other's *long* one.
 4. First, one partner for each set (of the sets of a key with the fewest items
    of their own, the one with most keys in common) is verified and linked sets
-   are merged; twice. Then every key is looked at again and only sets of
+   are merged. Then every key is looked at again and only sets of
    different components meet. So copies by the thousand cost a link each, not
-   all pairs. A pair that sizes and 256-bit sketches show to be too different
+   all pairs. A pair that sizes and sketches of 128 bits show to be too different
    isn't put out.
 """
 
@@ -40,6 +40,8 @@ WORDS = 5
 RARE = 32
 # Sets per subclass pair: about this many items of a whole set fall into one subclass.
 SUBCLASS_ITEMS = 8
+# Bits of a set's sketch.
+SKETCH = 128
 # Pairs that one reducer holds before it hands them on.
 PAIR_BLOCK = 1_000_000
 # Sets of a key that are tried as partners of its other sets before all pairs of different components are.
@@ -210,14 +212,17 @@ def _frequencies(n_buckets: int):
         order = np.argsort(doc, kind="stable")
         item, df, doc, n = item[order], df[order], doc[order], n[order]
         if len(doc):
-            yield pack(bucket_of(K.mix(doc.view(U64)), n_buckets), np.arange(len(doc)), {"doc": doc, "n": n}, {"item": item, "df": df})
+            first, length = K.runs(doc)
+            run = np.repeat(np.arange(len(first)), length)
+            where = bucket_of(K.mix(doc.view(U64)), n_buckets)
+            yield pack(where, run, {"doc": doc[first], "n": n[first]}, {"item": item, "df": df})
 
     return reduce
 
 
 def _sketch(items: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the items that fall on it: two sets differ in at least as many items as bits."""
-    odd = np.bincount((K.mix(items ^ U64(0x5EED)) & U64(255)).astype(np.int64), minlength=256) & 1
+    """Bits that are each the parity of the items that fall on it: two sets differ in at least as many items as bits."""
+    odd = np.bincount((K.mix(items ^ U64(0x5EED)) & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -304,17 +309,19 @@ def _keyed(n_buckets: int, percent: int, every: int, rare: int):
                     owner.append(np.full(len(key), i))
                 key = np.concatenate(keys)
                 if len(key):
-                    runs = {k: part.column(k).to_numpy().astype(np.int64) for k in ("doc", "n", "component")}
-                    runs["single"] = runs["n"] - np.array([len(x) // 8 for x in columns[1]])
-                    sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.int64).reshape(-1, 4)
-                    runs |= {f"s{i}": sketches[:, i] for i in range(4)}
+                    runs = {k: part.column(k).to_numpy().astype(RUNS[k]) for k in ("doc", "n", "component")}
+                    runs["single"] = runs["n"] - np.array([len(x) // 8 for x in columns[1]], RUNS["n"])
+                    sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.int64).reshape(part.num_rows, -1)
+                    runs |= {k: sketches[:, i] for i, k in enumerate(WORDS_OF_SKETCH)}
                     items = {"key": key, "short": np.concatenate(short).astype(np.uint8)}
+                    runs = {k: runs[k] for k in RUNS}  # in the schema's order
                     yield pack(bucket_of(key, n_buckets), np.concatenate(owner), runs, items)
 
     return work
 
 
-RUNS = dict.fromkeys(["doc", "n", "component", "single", "s0", "s1", "s2", "s3"], np.int64)
+WORDS_OF_SKETCH = [f"s{i}" for i in range(SKETCH // 64)]
+RUNS = {"doc": np.int64, "component": np.int64, "n": np.int32, "single": np.int32} | dict.fromkeys(WORDS_OF_SKETCH, np.int64)
 ITEMS = {"key": U64, "short": np.uint8}
 
 
@@ -329,7 +336,7 @@ def _by_key(arrays):
 
 def _may_link(a, left, right, percent: int):
     """Sizes and sketches allow a link, and the smaller set has the key in its short prefix."""
-    n_left, n_right = a["n"][left], a["n"][right]
+    n_left, n_right = a["n"][left].astype(np.int64), a["n"][right].astype(np.int64)
     head_left, head_right = a["short"][left] > 0, a["short"][right] > 0
     head = np.where(n_left < n_right, head_left, head_right)
     head = np.where(n_left == n_right, head_left | head_right, head)
@@ -337,11 +344,11 @@ def _may_link(a, left, right, percent: int):
     may &= 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
     some = np.flatnonzero(may)
     left, right = left[some], right[some]
-    differ = a["single"][left] + a["single"][right]
-    for i in range(4):
-        differ += np.bitwise_count((a[f"s{i}"][left] ^ a[f"s{i}"][right]).view(U64))  # of signed numbers it counts another thing
+    differ = a["single"][left].astype(np.int64) + a["single"][right]
+    for word in WORDS_OF_SKETCH:
+        differ += np.bitwise_count((a[word][left] ^ a[word][right]).view(U64))  # of signed numbers it counts another thing
     # common <= (size of both - differing items) / 2
-    both = a["n"][left] + a["n"][right]
+    both = n_left[some] + n_right[some]
     may[some] = 100 * (both - differ) >= percent * (both + differ)
     return may
 
@@ -477,7 +484,7 @@ def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -
         return components.mapInArrow(_keyed(n_buckets, percent, every, rare), packed_schema(RUNS, ITEMS))
 
     links, merged = None, profiles.withColumn("component", F.col("doc"))
-    for every in (8, 1, 0):
+    for every in (4, 0):
         if every:
             found = exchanged(keys(merged, every), RUNS, ITEMS, _partners(percent), "doc long, partner long, shared long")
             pairs = found.groupBy("doc").agg(F.max_by("partner", F.struct("shared", -F.col("partner"))).alias("partner"))
