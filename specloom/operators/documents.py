@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from specloom.functions import peaks as P
+from specloom.operators.binning import list_column, owners
 from specloom.operators.cleaning import normalise_intensities, require_more_than_n_peaks
 from specloom.operators.keys import lookup_join
 
@@ -114,6 +118,73 @@ def document_coverage(
     )
 
 
+# What the table of word vectors may take on the driver and, once, on each executor. m/z limits and decimals bound
+# the words: 200,000 of them with 300 dimensions take 480 MB.
+VECTOR_BYTES = 512 * 1024 * 1024
+
+# Entries (word and vector) that a task holds at once, in numbers.
+_ENTRIES_AT_ONCE = 4_000_000
+
+
+def _vector_table(word_vectors: DataFrame, dim: int):
+    """The words and their vectors for all executors; None if there are too many."""
+    limit = VECTOR_BYTES // (_WORD_BYTES + 8 * max(dim, 1))
+    rows = word_vectors.select("word", F.col("vector").cast("array<double>").alias("vector"))
+    if rows.limit(limit + 1).count() > limit:
+        return None
+    table = rows.toArrow().combine_chunks()
+    words = pa.concat_arrays(table.column("word").chunks) if table.num_rows else pa.array([], pa.string())
+    vectors = np.zeros((0, dim))
+    if table.num_rows:
+        vectors = np.array(pa.concat_arrays(table.column("vector").chunks).flatten()).reshape(table.num_rows, -1)[:, :dim]
+    return word_vectors.sparkSession.sparkContext.broadcast((words, vectors))
+
+
+def _cut(batches, dim: int):
+    """Pieces of batches whose entries fit in memory, each with at least one document."""
+    most = max(1, _ENTRIES_AT_ONCE // max(dim, 1))
+    for batch in batches:
+        ends = np.cumsum(np.array(pc.list_value_length(batch.column("words")).fill_null(0)))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + most, "right")), at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _summed(shared, dim: int, exponent: float):
+    def work(batches):
+        words, vectors = shared.value
+        for part in _cut(batches, dim):
+            owner = owners(part.column("weights"))
+            weights = np.power(part.column("weights").flatten().to_numpy(zero_copy_only=False), exponent)
+            place = pc.index_in(part.column("words").flatten(), value_set=words).fill_null(-1).to_numpy(zero_copy_only=False)
+            known = place >= 0
+            total = np.bincount(owner, weights=weights, minlength=part.num_rows)
+            missing = np.bincount(owner[~known], weights=weights[~known], minlength=part.num_rows)
+            sums = np.zeros((part.num_rows, dim))
+            if known.any():
+                own = owner[known]
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                sums[own[first]] = np.add.reduceat(weights[known, None] * vectors[place[known]], first, axis=0)
+            share = np.divide(100 * missing, total, out=np.zeros(part.num_rows), where=total != 0)
+            n_known = np.bincount(owner[known], minlength=part.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("spectrum_id"), list_column(sums), pa.array(share), pa.array(n_known)],
+                names=["spectrum_id", "vector", "missing_percentage", "n_known"],
+            )
+
+    return work
+
+
+def _embedded(documents: DataFrame, shared, dim: int, exponent: float) -> DataFrame:
+    """Vector, missing share and known words of each document that has words: no peak is shuffled."""
+    filled = documents.filter(F.size("words") > 0).select("spectrum_id", "words", F.col("weights").cast("array<double>").alias("weights"))
+    schema = "spectrum_id string, vector array<double>, missing_percentage double, n_known bigint"
+    return filled.mapInArrow(_summed(shared, dim, float(exponent)), schema)
+
+
 def _vector_sum(dim: int):
     """Per-dimension sums of weight * vector, as plain partial aggregates."""
     return F.array(
@@ -134,6 +205,9 @@ def weighted_document_vector(
 ) -> DataFrame:
     """Sum of word vector times powered weight, over the words that have a vector."""
     dim = dim or vector_size(word_vectors)
+    shared = _vector_table(word_vectors, dim)
+    if shared is not None:
+        return _embedded(documents, shared, dim, exponent).filter("n_known > 0").select("spectrum_id", "vector")
     joined = _join_words(
         word_rows(documents, exponent), word_vectors.select("word", "vector"), "inner", dim
     )
@@ -147,13 +221,18 @@ def embed_documents(
     allowed_missing_percentage: float = 5.0,
     dim: int | None = None,
 ) -> DataFrame:
-    """Vectors and coverage in one join and one aggregation.
+    """Vectors and coverage, summed where the document lies.
 
-    A document above the allowed share keeps its row with the status
+    The table of word vectors goes to every executor if it is small enough;
+    beyond that, words are joined to it by shuffle. A document above the allowed share keeps its row with the status
     ``too_many_missing``, so one poor spectrum does not stop a library.
     """
-    known = word_vectors.select("word", "vector", F.lit(True).alias("_known"))
     dim = dim or vector_size(word_vectors)
+    shared = _vector_table(word_vectors, dim)
+    if shared is not None:
+        embedded = _embedded(documents, shared, dim, exponent).drop("n_known")
+        return embedded.withColumn("status", _status(allowed_missing_percentage))
+    known = word_vectors.select("word", "vector", F.lit(True).alias("_known"))
     return (
         _join_words(word_rows(documents, exponent), known, "left", dim)
         .groupBy("spectrum_id")

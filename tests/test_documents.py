@@ -53,6 +53,7 @@ def test_hot_word_does_not_change_the_result(spark, monkeypatch):
     df = spectra(spark, *[{"peaks": [(1.0, 1.0), (2.0 + i % 3, 1.0)]} for i in range(60)])
     docs = documents.create_documents(df)
     expected = pairs(documents.embed_documents(docs, vectors(spark), dim=2), "spectrum_id", "vector", "missing_percentage")
+    monkeypatch.setattr(documents, "VECTOR_BYTES", 0)  # too many words for every executor
     original = documents.lookup_join
     monkeypatch.setattr(documents, "lookup_join", lambda *a, broadcast_rows: original(*a, target_rows=7))
     assert (
@@ -75,3 +76,14 @@ def test_training_covers_the_vocabulary(spark):
     assert all(len(r["vector"]) == 5 and not any(map(math.isnan, r["vector"])) for r in trained.collect())
     embedded = documents.embed_documents(docs, trained)
     assert embedded.filter("status = 'ok' and missing_percentage = 0").count() == 7
+
+
+def test_embedding_shuffles_no_peak_at_300_dimensions(spark):
+    df = spectra(spark, *[{"peaks": [(float(i), 1.0), (float(i + 1), 2.0)]} for i in range(1, 30)], {"peaks": [(900.0, 1.0)]})
+    docs = documents.create_documents(df, 0)
+    table = spark.createDataFrame([(f"peak@{i}", [float(i)] * 300) for i in range(1, 31)], "word string, vector array<double>")
+    embedded = documents.embed_documents(docs, table, 1.0)
+    assert "Exchange" not in embedded._jdf.queryExecution().executedPlan().toString()
+    rows = {r["spectrum_id"]: r for r in embedded.collect()}
+    assert rows["s0"]["vector"] == [0.5 * 1 + 1.0 * 2] * 300
+    assert (rows["s29"]["status"], rows["s29"]["missing_percentage"]) == ("too_many_missing", 100.0)
