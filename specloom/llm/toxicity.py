@@ -208,11 +208,13 @@ def learn_lexicon(labelled: DataFrame, entries: int = LEXICON_ENTRIES) -> Lexico
 class Toxicity:
     """The fitted lexicon, trees and calibration; without both labels a constant score."""
 
-    def __init__(self, labelled: DataFrame, fit_rows: int = FIT_ROWS):
-        """Fit on (doc_id, text, label); rows with a null label or id are left out."""
-        spark = labelled.sparkSession
+    def __init__(self, documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
+        """Fit on the texts of (doc_id, text) that have one of the first ``fit_rows`` of (doc_id, label)."""
+        spark = documents.sparkSession
+        # Chosen by id alone; so few that every executor can know them, and no text is shuffled to find them.
         order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
-        rows = labelled.filter("label is not null and doc_id is not null").orderBy(order).limit(fit_rows)
+        chosen = labels.filter("label is not null and doc_id is not null").orderBy(order, "doc_id").limit(fit_rows)
+        rows = documents.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
         rows = materialise(rows.withColumn("fold", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(10))), "toxicity-fit")
         self.trees = self.calibration = None
         lexicon = learn_lexicon(rows.filter("fold < 4").select("text", F.col("label").cast("long").alias("label")))
@@ -261,7 +263,7 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Toxicity:
     docs = _texts(documents)
     known = labels.filter("toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("label"))
     known = known.filter(~held_out())
-    return Toxicity(docs.filter(~held_out()).join(known, "doc_id").dropDuplicates(["doc_id"]))
+    return Toxicity(docs.filter(~held_out()), known)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
