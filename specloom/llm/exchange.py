@@ -79,13 +79,15 @@ def exchanged(
     reduce: Callable[[dict], Iterator[pa.RecordBatch]],
     schema: str,
     repeat: bool = True,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Bring each bucket into one partition and apply ``reduce`` to its arrays.
 
     Values of ``runs`` are repeated for each of their items; else ``run_items``
-    tells how many items each run has.
+    tells how many items each run has. ``n_buckets`` is given where the
+    mappers dealt to another number of buckets than shuffle partitions.
     """
-    n = bucket_count(packed)
+    n = n_buckets or bucket_count(packed)
 
     def work(batches):
         batches = [b for b in batches if b.num_rows]

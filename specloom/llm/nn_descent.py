@@ -270,24 +270,33 @@ def _meetings(dimensions: int, k: int, n_buckets: int):
     return reduce
 
 
+# Nodes of a bucket, at least: fewer would be many tiny tasks in every round.
+BUCKET_NODES = 1_000
+
+
+def buckets_for(df: DataFrame, count: int) -> int:
+    """As many buckets as shuffle partitions, if there are nodes for them."""
+    return int(np.clip(count // BUCKET_NODES, 1, bucket_count(df)))
+
+
 def build_graph(vectors: DataFrame, dimensions: int, count: int, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """(node, vec, near, sims): each node's unit vector and its k nearest nodes found, of distinct vectors (id, v)."""
-    n = bucket_count(vectors)
+    n = buckets_for(vectors, count)
     bits = int(np.clip(np.ceil(np.log2(max(count / CELL, 1))), 1, 12))
     spread = max(1, int(count / CELL) >> bits)
     cells = vectors.mapInArrow(_celled(n, dimensions, bits, spread), packed_schema(RUN, {"cell": 0, "node": 0, "vec": 0}))
     merge = packed_schema(RUN, MERGE)
     found = exchanged(
-        cells, RUN, {"cell": U64, "node": np.int64, "vec": np.float32}, _packed_offers(_cell_neighbours(dimensions, n, k), n), merge, False
+        cells, RUN, {"cell": U64, "node": np.int64, "vec": np.float32}, _packed_offers(_cell_neighbours(dimensions, n, k), n), merge, False, n
     )
     own = vectors.mapInArrow(_first_nodes(n, k), merge)
-    graph = materialise(exchanged(own.unionByName(found), RUN, MERGE, _merged(dimensions, k), NODES, False), "nn-graph")
+    graph = materialise(exchanged(own.unionByName(found), RUN, MERGE, _merged(dimensions, k), NODES, False, n), "nn-graph")
     for _ in range(rounds):
         wishes = graph.mapInArrow(_wishes(n), packed_schema(RUN, MEET))
-        members = exchanged(wishes, RUN, MEET, _members(dimensions, k, n), packed_schema(RUN, MEMBER), False)
-        offers = exchanged(members, RUN, MEMBER, _packed_offers(_meetings(dimensions, k, n), n), merge, False)
+        members = exchanged(wishes, RUN, MEET, _members(dimensions, k, n), packed_schema(RUN, MEMBER), False, n)
+        offers = exchanged(members, RUN, MEMBER, _packed_offers(_meetings(dimensions, k, n), n), merge, False, n)
         own = graph.mapInArrow(_deal_nodes(n, MERGE), merge)
-        graph = materialise(exchanged(own.unionByName(offers), RUN, MERGE, _merged(dimensions, k), NODES, False), "nn-graph")
+        graph = materialise(exchanged(own.unionByName(offers), RUN, MERGE, _merged(dimensions, k), NODES, False, n), "nn-graph")
     return graph
 
 
@@ -393,9 +402,8 @@ def _in_sight(a):
         )
 
 
-def _exchange_wide(packed: DataFrame, reduce, schema: str) -> DataFrame:
+def _exchange_wide(packed: DataFrame, reduce, schema: str, n: int) -> DataFrame:
     """As ``exchanged``, for rows of several sorts; tells items of states from others."""
-    n = bucket_count(packed)
     kinds = ASK | BEAMS
 
     def work(batches):
@@ -411,9 +419,9 @@ def _exchange_wide(packed: DataFrame, reduce, schema: str) -> DataFrame:
     return packed.repartitionById(n, F.col("bucket")).mapInArrow(work, schema)
 
 
-def search_graph(graph: DataFrame, queries: DataFrame, starts: np.ndarray, dimensions: int, k: int, expand: int, rounds: int) -> DataFrame:
+def search_graph(graph: DataFrame, queries: DataFrame, starts: np.ndarray, dimensions: int, k: int, expand: int, rounds: int, n: int) -> DataFrame:
     """(query, seen, score, done): what each query (id, v) found, best first. Queries are of a bounded number."""
-    spark, n = graph.sparkSession, bucket_count(graph)
+    spark = graph.sparkSession
     rows = queries.orderBy("id").collect()
     ids = np.array([r[0] for r in rows], np.int64)
     raw = np.array([r[1] for r in rows], float)
@@ -433,15 +441,15 @@ def search_graph(graph: DataFrame, queries: DataFrame, starts: np.ndarray, dimen
     asked = queries.select("id", "node").mapInArrow(first, wide)
     states = None
     for number in range(rounds + 1):
-        told = _exchange_wide(nodes.unionByName(asked), _scored(shared, dimensions, n), wide)
+        told = _exchange_wide(nodes.unionByName(asked), _scored(shared, dimensions, n), wide, n)
         if states is not None:
             told = told.unionByName(states.filter("seen is not null"))
-        beams = materialise(_exchange_wide(told, _in_sight, STATE), "nn-beams")
+        beams = materialise(_exchange_wide(told, _in_sight, STATE, n), "nn-beams")
         if number == rounds:
             return beams
         states = beams.mapInArrow(_expanded(n, expand), wide)
         wanted = states.filter("want is not null")
-        asked = _exchange_wide(nodes.unionByName(wanted), _near_of(dimensions, k, n), wide)
+        asked = _exchange_wide(nodes.unionByName(wanted), _near_of(dimensions, k, n), wide, n)
 
 
 def _deal_wide(n_buckets: int):
@@ -509,7 +517,7 @@ def nearest_neighbours(
     found = None
     for block in range(blocks):
         part = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
-        part = search_graph(graph, part, starts, dimensions, k, expand, search_rounds)
+        part = search_graph(graph, part, starts, dimensions, k, expand, search_rounds, buckets_for(rows, count))
         part = part.mapInArrow(_best_seen(4 * n_nearest + 10), "query_id long, node long")
         found = part if found is None else found.unionByName(part)
     if found is None:
