@@ -1,12 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. Every n-gram of the test items is counted over all documents. A seed is
-   rare if it is in few documents, or hardly more frequent than the rarest
-   quarter of its item (a leaked passage makes all seeds of an item frequent,
-   and they must stay).
-2. Rare seeds join documents to items. Around the hits of an item, the words
-   of the document are aligned with the item's by Smith-Waterman, so edited
-   and paraphrased copies score too: a match counts 2, a mismatch or gap -1.
+1. Every n-gram of the test items is a seed, however frequent: which n-grams
+   a partial or edited copy keeps can't be told from how often they occur.
+2. Seeds join documents to items. A place is left out only if no alignment
+   there can score enough: a word that the item has adds 2 at most, any other
+   takes 1, and the best stretch of such words bounds the score.
+3. Around the hits that are left, the words of the document are aligned with
+   the item's by Smith-Waterman, so edited and paraphrased copies score too: a
+   match counts 2, a mismatch or gap -1.
 
 The test items go in blocks of bounded size to the executors; the documents are
 read where they lie and never shuffled.
@@ -22,8 +23,6 @@ from specloom.llm import textkernel as K
 from specloom.llm.exchange import U64
 
 GRAM = 3
-# Documents that may hold a rare seed, whatever the item's other seeds.
-FEW = 20
 # Share of the best possible score, or of words in a row, that counts as a copy.
 SHARE = 0.4
 LONG_COPY = 40
@@ -32,6 +31,8 @@ LEAST_WORDS = 10
 # Text of test items in one block, in bytes.
 BLOCK_BYTES = 16_000_000
 MATCH, OTHER = 2, -1
+# Hits, or words around hits, that are looked at together; a document's hits stay together.
+PART = 500_000
 
 _word_byte = np.zeros(256, bool)
 _word_byte[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -76,31 +77,14 @@ class Seeds:
         order = np.argsort(gram, kind="stable")
         self.item, self.at = self.item[order], self.at[order]
         self.gram, self.first = np.unique(gram[order], return_index=True)
-        self._filter()
-
-    def _filter(self):
         self.length = np.diff(np.append(self.first, len(self.item)))
         bits = max(16, (8 * max(len(self.gram), 1) - 1).bit_length())
         self.shift = U64(64 - bits)
         self.maybe = np.zeros(1 << bits, bool)
         self.maybe[self.gram >> self.shift] = True
-
-    def rare(self, df: np.ndarray, few: int) -> Seeds:
-        """Only the seeds that are rare, and rare for at least one of their items."""
-        per_place = np.repeat(df, self.length)
-        keep = np.zeros(len(self.item), bool)
-        for i in range(len(self.ids)):
-            own = np.flatnonzero(self.item == i)
-            if len(own):
-                keep[own] = per_place[own] <= max(few, 4 * np.quantile(per_place[own], 0.25))
-        out = object.__new__(Seeds)
-        out.ids, out.words = self.ids, self.words
-        place = np.repeat(np.arange(len(self.gram)), self.length)[keep]
-        out.item, out.at = self.item[keep], self.at[keep]
-        used, out.first = np.unique(place, return_index=True)
-        out.gram = self.gram[used]
-        out._filter()
-        return out
+        # (item, word) of all items, to ask whether an item has a word.
+        self.has = np.unique(K.mix(hashes + K.mix(doc.astype(U64))))
+        self.size = np.diff(cut)
 
     def hits(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of ``gram`` that are seeds, and which."""
@@ -118,20 +102,32 @@ def _grams(column: pa.Array, n: int):
     return hashes, doc, K.ngram_hashes(hashes, n), ok
 
 
-def _frequencies(shared, n: int):
-    def work(batches):
-        seeds = shared.value
-        counts = np.zeros(len(seeds.gram), np.int64)
-        for part in K.text_slices(batches):
-            _, doc, gram, ok = _grams(part.column("text"), n)
-            at, seed = seeds.hits(gram)
-            at, seed = at[ok[at]], seed[ok[at]]
-            pairs = np.unique(doc[at] * len(seeds.gram) + seed)
-            counts += np.bincount(pairs % max(len(seeds.gram), 1), minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"seed": pa.array(some), "df": pa.array(counts[some])})
-
-    return work
+def _parts(sizes: np.ndarray, limit: int = PART):
+    """Cuts between which ``sizes`` add up to about ``limit``."""
+    total, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        base = total[at] - sizes[at]
+        to = max(int(np.searchsorted(total, base + limit, "right")), at + 1)
+        yield at, to
+        at = to
+
+
+def _bounds(hashes: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, seeds: Seeds) -> np.ndarray:
+    """For each region of a document, a score that no alignment with its item exceeds."""
+    out = np.zeros(len(item), np.int64)
+    length = high - low
+    for a, b in _parts(length):
+        n = length[a:b]
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) + np.repeat(low[a:b] - first, n)
+        key = K.mix(hashes[at] + np.repeat(K.mix(item[a:b].astype(U64)), n))
+        found = seeds.has[np.minimum(np.searchsorted(seeds.has, key), len(seeds.has) - 1)] == key
+        total = np.concatenate(([0], np.cumsum(np.where(found, MATCH, OTHER))))
+        # The smallest sum so far within the region: regions are set apart by a step longer than any sum.
+        apart = np.repeat(np.arange(b - a), n) * np.int64(2**33)
+        smallest = np.minimum.accumulate(total[:-1] - apart) + apart
+        out[a:b] = np.maximum(np.maximum.reduceat(total[1:] - smallest, first), 0)
+    return out
 
 
 def _copies(part: pa.RecordBatch, seeds: Seeds, n: int, share: float, long_copy: int) -> dict:
@@ -140,6 +136,17 @@ def _copies(part: pa.RecordBatch, seeds: Seeds, n: int, share: float, long_copy:
     at, seed = seeds.hits(gram)
     at, seed = at[ok[at]], seed[ok[at]]
     cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
+    found: dict[tuple[int, int], tuple[float, int, int]] = {}
+    rows, times = K.runs(doc[at])
+    hits = np.add.reduceat(seeds.length[seed], rows) if len(rows) else rows
+    ends = rows + times
+    for a, b in _parts(hits):
+        own = slice(rows[a], ends[b - 1])
+        _found_in(found, hashes, doc, cut, at[own], seed[own], seeds, n, share, long_copy)
+    return found
+
+
+def _found_in(found: dict, hashes, doc, cut, at, seed, seeds: Seeds, n: int, share: float, long_copy: int) -> None:
     # Each hit with every item that has the seed, and where the item would begin.
     times = seeds.length[seed]
     at = np.repeat(at, times)
@@ -148,25 +155,25 @@ def _copies(part: pa.RecordBatch, seeds: Seeds, n: int, share: float, long_copy:
     item, start = seeds.item[place], at - seeds.at[place]
     order = np.lexsort((start, item, doc[at]))
     row, item, start = doc[at][order], item[order], start[order]
-    size = np.array([len(w) for w in seeds.words] or [0])[item]
+    size = seeds.size[item]
     head = np.ones(len(row), bool)
     # Hits whose beginnings lie within an item's length are looked at together.
     head[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > size[1:])
     first = np.flatnonzero(head)
-    found: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(row)]):
-        r, i = int(row[a]), int(item[a])
-        words = seeds.words[i]
-        margin = len(words) // 2 + n
-        low = max(int(start[a]) - margin, int(cut[r]))
-        high = min(int(start[b - 1]) + len(words) + margin, int(cut[r + 1]))
-        region = hashes[low:high]
+    last = np.append(first[1:], len(row)) - 1
+    row, item, size = row[first], item[first], size[first]
+    margin = size // 2 + n
+    low = np.maximum(start[first] - margin, cut[row])
+    high = np.minimum(start[last] + size + margin, cut[row + 1])
+    least = MATCH * np.minimum(np.maximum(share * size, np.minimum(LEAST_WORDS, 0.8 * size)), long_copy)
+    for g in np.flatnonzero(_bounds(hashes, item, low, high, seeds) >= least).tolist():
+        r, i, begin = int(row[g]), int(item[g]), int(low[g])
+        words, region = seeds.words[i], hashes[begin : int(high[g])]
         score, end = align(words, region)
-        if score >= MATCH * min(max(share * len(words), min(LEAST_WORDS, 0.8 * len(words))), long_copy):
+        if score >= least[g]:
             back, length = align(words[::-1], region[:end][::-1])
             if score > found.get((r, i), (-1,))[0]:
-                found[r, i] = score, low + end - length - int(cut[r]), low + end - int(cut[r])
-    return found
+                found[r, i] = score, begin + end - length - int(cut[r]), begin + end - int(cut[r])
 
 
 def _aligned(shared, n: int, share: float, long_copy: int):
@@ -203,7 +210,7 @@ COPIES = "doc_id long, item_id long, score double, first_word long, end_word lon
 
 
 def benchmark_copies(
-    documents: DataFrame, benchmark: DataFrame, gram: int = GRAM, few: int = FEW, share: float = SHARE, long_copy: int = LONG_COPY
+    documents: DataFrame, benchmark: DataFrame, gram: int = GRAM, share: float = SHARE, long_copy: int = LONG_COPY
 ) -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): documents with a copy of a test item, and its best place.
 
@@ -218,23 +225,23 @@ def benchmark_copies(
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.filter("text is not null")
     found = documents.sparkSession.createDataFrame([], COPIES)
-    for rare in _rare_seeds(docs, benchmark, gram, few):
-        found = found.unionByName(docs.mapInArrow(_aligned(rare, gram, share, long_copy), COPIES))
+    for seeds in _seed_blocks(docs, benchmark, gram):
+        found = found.unionByName(docs.mapInArrow(_aligned(seeds, gram, share, long_copy), COPIES))
     return found
 
 
 def without_copies(
-    documents: DataFrame, benchmark: DataFrame, gram: int = GRAM, few: int = FEW, share: float = SHARE, long_copy: int = LONG_COPY
+    documents: DataFrame, benchmark: DataFrame, gram: int = GRAM, share: float = SHARE, long_copy: int = LONG_COPY
 ) -> DataFrame:
     """The rows of ``documents``, with all their columns, that have no copy of a test item."""
-    for rare in _rare_seeds(documents, benchmark, gram, few):
+    for seeds in _seed_blocks(documents, benchmark, gram):
         rows = documents.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-        documents = rows.mapInArrow(_clean(rare, gram, share, long_copy), rows.schema).select("row.*")
+        documents = rows.mapInArrow(_clean(seeds, gram, share, long_copy), rows.schema).select("row.*")
     return documents
 
 
-def _rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, few: int) -> list:
-    """The rare seeds of each block of test items, for the executors."""
+def _seed_blocks(docs: DataFrame, benchmark: DataFrame, gram: int) -> list:
+    """The seeds of each block of test items, for the executors."""
     context = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("text is not null")
@@ -243,10 +250,5 @@ def _rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, few: int) -> l
     out = []
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        seeds = Seeds([tuple(r) for r in own.collect()], gram)
-        counted = docs.select("text").mapInArrow(_frequencies(context.broadcast(seeds), gram), "seed long, df long")
-        df = np.zeros(len(seeds.gram), np.int64)
-        for seed, n in counted.groupBy("seed").agg(F.sum("df")).collect():  # as many rows as the block has seeds
-            df[seed] = n
-        out.append(context.broadcast(seeds.rare(df, few)))
+        out.append(context.broadcast(Seeds([tuple(r) for r in own.collect()], gram)))
     return out

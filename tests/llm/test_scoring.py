@@ -91,6 +91,31 @@ def test_copies_are_found_edited_or_not_and_clean_texts_stay(spark, documents):
     assert benchmark_copies(documents(rows), benchmark.limit(0)).collect() == []
 
 
+def test_partial_and_edited_versions_in_many_documents_are_found(spark, documents):
+    items = [words(8000 + i, 40) for i in range(3)] + [words(8010, 200)]
+    version = items[1].copy()
+    for at in (5, 15, 25, 35):
+        version[at] = f"new{at}"
+    parts = [items[0][10:26], version, items[2], items[3][60:100]]
+    rows = [(1000 * k + i, " ".join(words(1000 * k + i, 30) + p + words(7 * i + k, 20))) for k, p in enumerate(parts) for i in range(1, 101)]
+    rows += [(5000, " ".join(items[1])), (5001, " ".join(items[0])), (5002, " ".join(items[3])), (5003, " ".join(words(1, 300)))]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    expected = {(1000 * k + i, k) for k in range(4) for i in range(1, 101)} | {(5000, 1), (5001, 0), (5002, 3)}
+    assert {(r.doc_id, r.item_id) for r in benchmark_copies(documents(rows), benchmark).collect()} == expected
+    assert {r.doc_id for r in without_copies(documents(rows), benchmark).collect()} == {5003}
+
+
+def test_no_alignment_exceeds_its_bound():
+    draw = np.random.default_rng(1)
+    items = [(i, " ".join(f"a{x}" for x in draw.integers(0, 6, draw.integers(3, 20)))) for i in range(8)]
+    seeds = decontaminate.Seeds(items, 3)
+    hashes = np.concatenate([seeds.words[i] for i in draw.integers(0, 8, 40)])
+    low = draw.integers(0, len(hashes) - 40, 200)
+    high, item = low + draw.integers(1, 40, 200), draw.integers(0, 8, 200)
+    bounds = decontaminate._bounds(hashes, item, low, high, seeds)
+    assert all(align(seeds.words[i], hashes[a:b])[0] <= x for i, a, b, x in zip(item, low, high, bounds))
+
+
 def test_blocks_of_items_give_the_same(spark, documents, monkeypatch):
     items = [(i, " ".join(words(1000 + i, 40))) for i in range(6)]
     rows = [(i, " ".join(words(i, 30)) + " " + items[i][1]) for i in range(6)]
