@@ -24,8 +24,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from specloom.llm import textkernel as K
 from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, pack_through, packed_schema
 
-RUNS = {"doc": np.int64, "mark": np.uint32, "anchor": U64, "at": np.uint32, "shift": np.uint8}
-ITEMS = {"check": np.uint32}
+# Half of the anchor only chooses what is compared; all bits of the windows decide, as a common anchor has as many
+# different windows as the corpus has surroundings of it. Equal windows have their anchor at the same place.
+RUNS = {"doc": np.int64, "mark": np.uint32, "anchor": np.uint32, "at": np.uint32}
+ITEMS = {"check": U64}
 LOCAL = {"own_doc": np.int64, "own_mark": np.uint32, "own_at": np.uint32}
 COLUMNS = ["run_items", *RUNS, *ITEMS, *LOCAL]
 SCHEMA = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in COLUMNS)])
@@ -100,11 +102,10 @@ def _anchored(spans, k: int, w: int, by_place: bool, n_buckets: int):
                 runs = {
                     "doc": ids[row_s[head]],
                     "mark": marks[row_s[head]],
-                    "anchor": grams[owner[head]],
+                    "anchor": grams[owner[head]].astype(np.uint32),
                     "at": within[send_head],
-                    "shift": place[send_head],
                 }
-                items = {"check": window[send].astype(np.uint32)}
+                items = {"check": window[send]}
                 packed = pack(bucket_of(K.mix(grams[owner]), n_buckets), run, runs, items)
             yield pack_through(own, K.mix(own["own_doc"].view(U64)), packed, SCHEMA)
 
@@ -124,15 +125,13 @@ def _extended(size: int, by_place: bool, n_buckets: int):
                 several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
             seed = np.zeros(len(order), bool)
             seed[order] = np.repeat(several, length)
-            # Extension: the windows around each seed, each with its place before the anchor.
+            # Extension: the windows around each seed.
             counts = a["run_items"].astype(np.int64)
             begin = np.cumsum(counts) - counts
             counts = counts[seed]
             if counts.sum():
                 step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-                check = a["check"][np.repeat(begin[seed], counts) + step].astype(U64)
-                shift = np.repeat(a["shift"][seed], counts).astype(np.int64) - step
-                same = K.mix(np.repeat(a["anchor"][seed], counts) + K.mix(check | (shift.astype(U64) << U64(40))))
+                same = a["check"][np.repeat(begin[seed], counts) + step]
                 doc, mark = np.repeat(a["doc"][seed], counts), np.repeat(a["mark"][seed], counts)
                 at = np.repeat(a["at"][seed], counts) + step.astype(np.uint32)
                 later = _later([doc, at] if by_place else [doc], same)

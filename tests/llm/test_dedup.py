@@ -54,6 +54,20 @@ def classes(rows):
     return sorted((i, len(sets[i]), top(i)) for i, _ in rows)
 
 
+def test_windows_that_share_an_anchor_and_half_a_hash_are_not_repeats():
+    import numpy as np
+
+    from specloom.llm import anchors
+
+    window = np.array([7, 7 + (1 << 32), 7], np.uint64)  # the first two differ in the upper half only
+    runs = {"doc": [1, 2, 3], "mark": [0, 0, 0], "anchor": [5, 5, 5], "at": [0, 0, 0], "shift": [2, 2, 2]}
+    arrays = {k: np.array(runs[k], t) for k, t in anchors.RUNS.items()} | {k: np.zeros(0, t) for k, t in anchors.LOCAL.items()}
+    arrays |= {"run_items": np.ones(3, np.uint32), "check": window.astype(anchors.ITEMS["check"])}
+    for by_place in (False, True):
+        (out,) = anchors._extended(13, by_place, 1)(dict(arrays))
+        assert np.frombuffer(out.column("doc")[0].as_py(), np.int64).tolist() == [3]
+
+
 @pytest.mark.parametrize("rare", [32, 2])
 def test_jaccard_classes_equal_brute_force(documents, rare):
     rows = corpus()
