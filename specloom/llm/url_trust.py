@@ -31,6 +31,8 @@ ROUNDS = 10
 # Rounds between two writes of the ranks.
 WRITE_EVERY = 5
 TOLERANCE = 1.0
+# Relative difference below which two ranks count as equal: sums of doubles depend on the order a little.
+EQUAL = 1e-9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -89,8 +91,7 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
         given = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"])
         given = given.select("kind", F.col("target").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
         start = seeds.select("kind", "host", ((1 - damping) * F.col("start")).alias("rank"))
-        # Added as decimals: the sum doesn't depend on the order.
-        ranks = given.unionByName(start).groupBy("kind", "host").agg(F.sum(F.col("rank").cast("decimal(38,18)")).cast("double").alias("rank"))
+        ranks = given.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if number % WRITE_EVERY == 0:
             ranks = materialise(ranks, "host-ranks")
     return ranks
@@ -120,5 +121,5 @@ def url_verdicts(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE) ->
     ranks = spread(both, seeds)
     ranks = ranks.groupBy("host").agg(*[F.sum(F.when(F.col("kind") == k, F.col("rank")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")])
     judged = seen.drop("html").join(ranks, "host", "left").withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust")})
-    method = F.when(F.round("distrust", 12) > F.round(tolerance * F.col("trust"), 12), "block").otherwise("allow")
+    method = F.when(F.col("distrust") > tolerance * (1 + EQUAL) * F.col("trust"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")

@@ -187,3 +187,13 @@ def test_urls_are_judged_by_rule_then_by_links(spark):
     trust = rank_by_hand(edges, {h: 1 / 3 for h in ("good.com", "www.example.com", "example.com")})
     assert all(abs(r.trust - trust.get(r.host, 0)) < 1e-9 for r in got.values())
     assert url_trust.url_verdicts(table.limit(0)).collect() == []
+
+
+def test_small_ranks_are_judged_as_large_ones(spark):
+    link = lambda host, n: f'<a href="https://{host}/x">' * n
+    rows = [(0, "http://bad.net/es/1", "")]
+    for i, above in enumerate(["bad.net", "p0.org", "p1.org"]):
+        rows += [(10 + i, f"http://p{i}.org/", link(above, 1)), (20 + i, f"http://q{i}.org/", link(above, 10_000))]
+    got = {r.page_id: r for r in url_trust.url_verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert 0 < got[12].distrust < 1e-12 and got[12].trust == 0
+    assert {r.verdict for r in got.values()} == {"block"}
