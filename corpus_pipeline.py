@@ -8,7 +8,7 @@ from specloom.llm.decontaminate import without_copies
 from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.line_dedup import line_dedup
 from specloom.llm.merge_dropout import encode
-from specloom.llm.runtime import prepared
+from specloom.llm.runtime import prepared, quoted
 from specloom.llm.toxicity import without_toxic
 from specloom.session import materialise
 
@@ -29,7 +29,7 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     new = line_dedup(docs).drop("n_lines", "n_removed")
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return new.select(*docs.columns)
+    return new.select(*map(quoted, docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +41,12 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     prepared(spark)
     classes = materialise(jaccard_classes(docs), "pipeline-classes")
     gone = classes.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*map(quoted, docs.columns))
     repeated = classes.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    return single.unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    single = kept.join(repeated, "doc_id", "left_anti").select(*map(quoted, docs.columns))
+    return single.unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*map(quoted, docs.columns)))
 
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from specloom.llm import textkernel as K
 from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, pack_through, packed_schema
+from specloom.llm.runtime import quoted
 
 # Half of the anchor only chooses what is compared; all bits of the windows decide, as a common anchor has as many
 # different windows as the corpus has surroundings of it. Equal windows have their anchor at the same place.
@@ -223,7 +224,7 @@ def _marked(batches):
 
 def texts_and_rest(documents: DataFrame) -> DataFrame:
     """(doc_id, text, rest): ``rest`` holds all columns but the text."""
-    rest = F.struct(*[documents[c] for c in documents.columns if c != "text"])
+    rest = F.struct(*[quoted(c) for c in documents.columns if c != "text"])
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
 
 
@@ -238,7 +239,7 @@ def rebuilt(documents: DataFrame, docs: DataFrame, found: DataFrame, work, count
         ]
     )
     new = with_spans(docs, found).mapInArrow(work, schema)
-    rest = [F.col(f"rest.`{c}`").alias(c) for c in documents.columns if c not in ("text", counted, "n_removed")]
+    rest = [F.col("rest").getField(c).alias(c) for c in documents.columns if c not in ("text", counted, "n_removed")]
     return new.select(*rest, counted, "n_removed", "text")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession, functions as F
 
 from specloom.session import ship_package
 
@@ -17,3 +17,8 @@ def prepared(spark: SparkSession) -> SparkSession:
     if spark.conf.get(SETTING, "10000") == "10000":
         spark.conf.set(SETTING, str(BATCH_ROWS))
     return spark
+
+
+def quoted(name: str) -> Column:
+    """The column of just this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
