@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from specloom.llm.chat_format import END, PROBE, START, TRAINED_ROLE, format_digest, with_probe
 from specloom.llm.decontaminate import benchmark_copies
 from specloom.llm.jaccard_join import jaccard_classes
 from specloom.llm.language_id import identify_languages
@@ -12,9 +13,11 @@ from specloom.llm.merge_dropout import encode
 from specloom.llm.nn_descent import nearest_neighbours
 from specloom.llm.pii import pseudonymise
 from specloom.llm.runtime import prepared
+from specloom.llm.shared_search import shared_search
 from specloom.llm.substring_dedup import substring_digest
 from specloom.llm.toxicity import toxicity
 from specloom.llm.url_trust import url_verdicts
+from specloom.llm.whitening import whiten
 
 QUERIES = {}
 
@@ -81,6 +84,21 @@ def op10_pii_pseudonyms(spark, sf_dir):
     return pseudonymise(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_shared_search(spark, sf_dir):
+    return shared_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_chat_format(spark, sf_dir):
+    return format_digest(with_probe(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 # {items}: a list of each text's items; {n}: items of a window; {later}: that a window starts earlier; {join}: what joins items.
@@ -97,7 +115,43 @@ WITH items AS (SELECT doc_id, coalesce(text, '') AS text, {items} AS w FROM docu
 )
 """
 
+TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+# A text, or a role whose backslashes and line ends are escaped, without control strings.
+ESCAPED = "regexp_replace({text}, '<(\\\\*)\\|', '<\\1\\\\|', 'g')"
+
 ORACLES = {
+    "op11_shared_search": f"""
+WITH texts AS (SELECT row_number() OVER () AS d, doc_id, {TERMS} AS w FROM documents
+), docs AS (SELECT d, doc_id, w, len(w) AS n FROM texts WHERE len(w) > 0
+), size AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs
+), tf AS (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM docs) GROUP BY d, t
+), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t
+), items AS (SELECT row_number() OVER () AS i, item_id, unnest({TERMS}) AS t FROM benchmark
+), parts AS (
+  SELECT i, item_id, d, doc_id, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS s
+  FROM items JOIN tf USING (t) JOIN df USING (t) JOIN docs USING (d), size
+), scores AS (SELECT i, item_id, d, doc_id, CAST(sum(s) AS BIGINT) AS score FROM parts GROUP BY ALL HAVING sum(s) > 0
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_chat_format": f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, '{TRAINED_ROLE}', '{PROBE}'
+), cut AS (
+  SELECT conv_id, turn, role, text, {ESCAPED.format(text="text")} AS content,
+    {ESCAPED.format(text="replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")} AS head FROM given
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, content) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, content) FILTER (role = '{TRAINED_ROLE}'), '') AS loss,
+    sum(length(head) + length(content) + {len(START) + 1 + len(END)}) AS formatted_chars
+  FROM cut GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars FROM whole
+""",
     "op1_line_dedup": REPEATS.format(
         items="string_split(coalesce(text, ''), chr(10))",
         n=3,
