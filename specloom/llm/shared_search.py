@@ -165,30 +165,39 @@ PLAN_ROW = "queries array<string>, terms binary, nodes binary, tops binary, size
 
 
 def _planned(limit: int):
+    """The queries of one group to plans of at most ``limit`` terms each."""
+
     def row(names, queries):
         plan = mined(queries)
-        tops = np.concatenate(plan.tops) if plan.tops else np.zeros(0, np.int64)
-        one = {"queries": names, "terms": plan.terms.tobytes(), "nodes": plan.nodes.tobytes(), "tops": tops.tobytes(), "sizes": [len(t) for t in plan.tops]}
-        schema = pa.schema([("queries", pa.list_(pa.string())), ("terms", pa.binary()), ("nodes", pa.binary()), ("tops", pa.binary()), ("sizes", pa.list_(pa.int32()))])
-        return pa.RecordBatch.from_pylist([one], schema)
-
-    def work(batches):
-        names, queries, size = [], [], 0
-        for batch in batches:
-            for name, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("query", "terms", "counts"))):
-                own = np.repeat(np.frombuffer(terms, np.int64), np.frombuffer(counts, np.int32))
-                if names and size + len(own) > limit:
-                    yield row(names, queries)
-                    names, queries, size = [], [], 0
-                names.append(name)
-                queries.append(own)
-                size += len(own)
-        if names:
-            yield row(names, queries)
+        tops = np.concatenate(plan.tops)
+        return {"queries": names, "terms": plan.terms.tobytes(), "nodes": plan.nodes.tobytes(), "tops": tops.tobytes(), "sizes": [len(t) for t in plan.tops]}
+
+    def work(group: pa.Table) -> pa.Table:
+        rows, names, queries, size = [], [], [], 0
+        for name, terms, counts in sorted(zip(*(group.column(c).to_pylist() for c in ("query", "terms", "counts")))):
+            own = np.repeat(np.frombuffer(terms, np.int64), np.frombuffer(counts, np.int32))
+            if names and size + len(own) > limit:
+                rows.append(row(names, queries))
+                names, queries, size = [], [], 0
+            names.append(name)
+            queries.append(own)
+            size += len(own)
+        rows.append(row(names, queries))
+        return pa.Table.from_pylist(rows, pa.schema([("queries", pa.list_(pa.string())), ("terms", pa.binary()), ("nodes", pa.binary()), ("tops", pa.binary()), ("sizes", pa.list_(pa.int32()))]))
 
     return work
 
 
+def _in_blocks(queries: DataFrame, n_blocks: int) -> DataFrame:
+    """``queries`` with a ``block``: those that share their smallest hash, and so are likely to share terms, are dealt to few."""
+    bits = lambda of, n: F.shiftrightunsigned(F.xxhash64(of), 64 - n)
+    # Below the smallest hash, the query's own: queries that begin alike, however many, still spread. 52 bits fit a double.
+    laid = queries.withColumn("like", (F.shiftleft(bits(F.substring("terms", 1, 8), 32), 20) + bits("query", 20)).cast("double"))
+    edges = laid.approxQuantile("like", [k / n_blocks for k in range(1, n_blocks)], 0.1 / n_blocks) if n_blocks > 1 else []
+    below = F.filter(F.lit(edges).cast("array<double>"), lambda e: e <= F.col("like")) if edges else F.array()
+    return laid.withColumn("block", F.size(below))
+
+
 def _plan(row) -> Plan:
     tops = np.split(np.frombuffer(row.tops, np.int64), np.cumsum(row.sizes)[:-1])
     return Plan(np.frombuffer(row.terms, np.int64), np.frombuffer(row.nodes, np.int64).reshape(-1, 2), tops)
@@ -305,9 +314,8 @@ def shared_search(documents: DataFrame, items: DataFrame, best: int = BEST, bloc
     size = index.agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("terms")).first()
     path, found = new_path(spark, "search-ranks"), spark.createDataFrame([], RANKED)
     if n_blocks and size.documents:
-        # Queries that share their smallest hash are likely to share more terms.
-        laid = queries.repartitionByRange(n_blocks, F.substring("terms", 1, 8), "query").sortWithinPartitions(F.substring("terms", 1, 8), "query")
-        plans = materialise(laid.mapInArrow(_planned(block_terms), PLAN_ROW), "search-plans")
+        plans = _in_blocks(queries, n_blocks).groupBy("block").applyInArrow(_planned(block_terms), PLAN_ROW)
+        plans = materialise(plans, "search-plans")
         for row in plans.toLocalIterator():  # one bounded block after the other
             _write_block(index, row, size, best, path)
         found = spark.read.schema(RANKED).parquet(path)
