@@ -104,6 +104,7 @@ oracle(
     "select spectrum_id, mz_text as Precursor_MZ, mode_text as Ion_Mode, scan, scan_no, cast(strlen(t) as bigint) as n_bytes from lib join texts using (k)",
     texts=PEAK_TEXT,
 )
+ORACLES["read_library_json_arrays"] = ORACLES["read_library_json"]
 oracle(
     "read_library_mgf",
     f"select spectrum_id, precursor_mz, {r6('parent_mass')} as parent_mass, cast(charge as varchar) as charge, inchi, {SUMS} from clean join sums using (k)",
@@ -330,19 +331,26 @@ def tanimoto(features: str, min_score: float) -> dict[str, str]:
     }
 
 
+def first_digits(text: str) -> str:
+    return f"cast('0x' || substring({text}, 1, 8) as bigint)"
+
+
 PART_KEY = "substring(md5(p_brand || p_type), 1, 14)"
 SUPPLIER_FEATURES = "select cast(l_suppkey as varchar) as key, l_partkey as feature from lineitem"
 oracle(
     "labelled_pairs",
-    """select a.spectrum_id as spectrum_a, s.spectrum_id as spectrum_b, score_bin, score from named a join drawn on a.rep = key_a
-      join speakers s on s.rep = key_b and s.turn = cast('0x' || substring(md5('100|' || a.spectrum_id || '|' || key_b), 1, 8) as bigint) % s.n""",
+    f"""select a.spectrum_id as spectrum_a, s.spectrum_id as spectrum_b, score_bin, score from named a join drawn on a.rep = key_a
+      join speakers s on s.rep = key_b and s.turn = {first_digits("md5('100|' || a.spectrum_id || '|' || key_b)")} % s.n""",
     **tanimoto(f"select {PART_KEY} as key, l_suppkey as feature from lineitem join part on l_partkey = p_partkey", 0),
     named=f"""select 'PT' || lpad(cast(p_partkey as varchar), 9, '0') as spectrum_id, rep from part join members on key = {PART_KEY}""",
+    numbers=f"""select key, {first_digits("md5('100|' || key)")} % 2147483647 as number from sets""",
+    ordered="""select *, (x * x) % 2147483647 as pair_order from (select scores.*, cast(least(floor(score * 10), 9) as int) as score_bin,
+      (a.number * 1103515245 + b.number * 69621 + 12345) % 2147483647 as x
+      from scores join numbers a on a.key = key_a join numbers b on b.key = key_b)""",
     drawn="""select key_a, key_b, score, score_bin from (select *, row_number() over (partition by key_a, score_bin
-      order by md5('100|' || key_a || '|' || key_b), key_b) as r
-      from (select *, cast(least(floor(score * 10), 9) as int) as score_bin from scores)) where r = 1""",
-    speakers="""select *, count(*) over (partition by rep) as n from (select *, row_number() over (partition by rep
-      order by md5('100|' || spectrum_id), spectrum_id) - 1 as turn from named) where turn < 8""",
+      order by pair_order, key_b) as r from ordered) where r = 1""",
+    speakers="""select *, count(*) over (partition by rep) as n, row_number() over (partition by rep
+      order by md5('100|' || spectrum_id), spectrum_id) - 1 as turn from named""",
 )
 
 # Similarity

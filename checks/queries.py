@@ -71,6 +71,21 @@ def read_library_json(spark, sf):
     )
 
 
+@query
+def read_library_json_arrays(spark, sf):
+    """The library as published: arrays over many lines, read in byte ranges."""
+    path = new_path(spark, "library-arrays")
+    library.write_library_json(t.raw(spark, sf), path, layout="array")
+    return library.read_library_json(spark, path, layout="any").select(
+        "spectrum_id",
+        "Precursor_MZ",
+        "Ion_Mode",
+        "scan",
+        "scan_no",
+        F.octet_length("peaks_json").cast("bigint").alias("n_bytes"),
+    )
+
+
 @query
 def read_library_mgf(spark, sf):
     path = new_path(spark, "library-mgf")
@@ -519,8 +534,8 @@ def spectra_for_keys(spark, sf):
 @query
 def labelled_pairs(spark, sf):
     fingerprints = materialise(structures.fingerprint_bitmap(t.part_features(spark, sf)), "fingerprints")
-    scores, members = structures.tanimoto_matrix(fingerprints), structures.copy_members(fingerprints)
-    return structures.labelled_pairs(t.part_structures(spark, sf), scores, members)
+    partners, members = structures.sampled_partners(fingerprints), structures.copy_members(fingerprints)
+    return structures.labelled_pairs(t.part_structures(spark, sf), partners, members)
 
 
 # Similarity

@@ -88,6 +88,30 @@ def split_hot_keys(
     return left, right, [*keys, "_lp", "_rp"]
 
 
+def triangle(rows: DataFrame, identity: list[str], block_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``rows`` with themselves, in blocks of which each unordered pair is made once.
+
+    The rows are counted and dealt to parts of about ``block_rows``; of two
+    parts the one with the smaller number is the left side. A block with equal ``_lp`` and
+    ``_rp`` holds a part with itself. Each row is sent to parts + 1 blocks, where a
+    square grid would take two times the parts.
+    """
+    parts = max(-(-rows.count() // block_rows), 1)
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*identity), F.lit(parts)).cast("int"))
+    own = F.col("_part")
+    left = dealt.select(*rows.columns, own.alias("_lp"), F.explode(F.sequence(own, F.lit(parts - 1))).alias("_rp"))
+    right = dealt.select(*_renewed(rows), F.explode(F.sequence(F.lit(0), own)).alias("_lp"), own.alias("_rp"))
+    return left, right, ["_lp", "_rp"]
+
+
+def tiles(n_left: int, n_right: int, scores_at_once: int):
+    """Slices of both sides, so that a tile holds about ``scores_at_once`` pairs; all tiles of a left slice in a row."""
+    step = max(int(scores_at_once**0.5), 1)
+    for at in range(0, n_left, step):
+        for to in range(0, n_right, step):
+            yield slice(at, min(at + step, n_left)), slice(to, min(to + step, n_right))
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

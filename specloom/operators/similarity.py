@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from specloom.functions import vectors as V
 from specloom.operators.binning import ragged
-from specloom.operators.keys import split_hot_keys
+from specloom.operators.keys import split_hot_keys, tiles, triangle
 from specloom.operators.ranking import best_per_query
 
 # Rows of one side of a block: 16,384 vectors of 400 doubles are 52 MB.
@@ -154,11 +154,68 @@ def cosine_matrix(
     return blockwise_best(whole(queries), whole(refs), ["_all"], n_best, decimals, block_rows=block_rows)
 
 
+class _Nearest:
+    """The n best columns so far of each row of one side."""
+
+    def __init__(self, n_best: int):
+        self.n_best, self.found = n_best, []
+
+    def add(self, scores: np.ndarray, row: int, column: int) -> None:
+        """A tile whose first row and column are ``row`` and ``column``."""
+        rows, columns = _best(scores, self.n_best)
+        self.found.append((rows + row, columns + column, scores[rows, columns]))
+
+    def shorten(self) -> None:
+        rows, columns, scores = (np.concatenate(x) for x in zip(*self.found))
+        by = np.lexsort((columns, -scores, rows))
+        place = np.arange(len(by)) - np.searchsorted(rows[by], rows[by])
+        by = by[place < self.n_best]
+        self.found = [(rows[by], columns[by], scores[by])]
+
+    def table(self, own: pa.ChunkedArray, others: pa.ChunkedArray) -> pa.Table:
+        if self.found:
+            self.shorten()
+        rows, columns, scores = self.found[0] if self.found else [np.zeros(0, np.int64)] * 3
+        return pa.table(
+            {"query_id": own.take(pa.array(rows, pa.int64())), "ref_id": others.take(pa.array(columns, pa.int64())), "score": pa.array(scores, pa.float64())}
+        )
+
+
+def _triangle_scorer(n_best: int, decimals: int):
+    """Of one block: the best matches of both its sides, from the same scores."""
+
+    def score(cell, left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.sort_by("spectrum_id"), right.sort_by("spectrum_id")
+        there, back, twice = _Nearest(n_best), _Nearest(n_best), cell[0] != cell[1]
+        if left.num_rows and right.num_rows:
+            a, b = _unit(_matrix(left, "vector")), _unit(_matrix(right, "vector"))
+            for i, j in tiles(len(a), len(b), _SCORES_AT_ONCE):
+                scores = np.round(a[i] @ b[j].T, decimals) + 0.0
+                there.add(scores, i.start, j.start)
+                if twice:
+                    back.add(scores.T, j.start, i.start)
+                if j.stop == len(b):
+                    there.shorten()
+                    if twice:
+                        back.shorten()
+        ids = left.column("spectrum_id"), right.column("spectrum_id")
+        return pa.concat_tables([there.table(*ids), back.table(*ids[::-1])])
+
+    return score
+
+
 def self_similarity(
     vectors: DataFrame, n_best: int, decimals: int = 6, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """``cosine_matrix`` of a set with itself, the element itself included."""
-    return cosine_matrix(as_queries(vectors), as_refs(vectors), n_best, decimals, block_rows)
+    """``cosine_matrix`` of a set (spectrum_id, vector) with itself, the element itself included.
+
+    The matrix is symmetric, so each block of it is computed once and read both
+    ways: half the products of ``cosine_matrix``, and half the rows sent.
+    """
+    rows = vectors.select(F.col("spectrum_id").cast("string").alias("spectrum_id"), "vector")
+    left, right, cells = triangle(rows, ["spectrum_id"], block_rows)
+    local = left.groupby(*cells).cogroup(right.groupby(*cells)).applyInArrow(_triangle_scorer(n_best, decimals), MATCHES)
+    return best_per_query(local, n_best)
 
 
 def as_queries(vectors: DataFrame, *keep: str | Column) -> DataFrame:

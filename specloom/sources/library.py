@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.functions import peaks as P
 from specloom.functions.text import number
 from specloom.operators.ranking import query_label
 from specloom.schema import RAW_KEYS, RENAMED_KEYS, SPECTRUM_SCHEMA, require_columns
+from specloom.sources.json_arrays import record_texts
 
 
-def read_library_json(spark: SparkSession, paths, check_keys: bool = True) -> DataFrame:
-    """Raw records from JSON text: one record, or one array of records, per line.
+RECORD = "map<string,string>"
 
-    Files with one value per line are split among tasks. A single array over
-    many lines must be rewritten as lines first: Spark reads such a file in one
-    task and, of several arrays in it, only the first one, so it is refused here
-    rather than read in part. A record lacking one of the 37 keys is an error.
-    Every value is kept as the text it has in the file.
+
+def read_library_json(spark: SparkSession, paths, check_keys: bool = True, layout: str = "lines") -> DataFrame:
+    """Raw records from JSON text, the values kept as the text they have in the file.
+
+    ``layout="lines"``: one record, or one array of records, per line, read in
+    one pass. ``layout="any"``: also arrays over many lines, several to a
+    file, as the published library has them; read in byte ranges, in three passes
+    over the text. Anything else is refused rather than read in part, and
+    so is a record lacking one of the 37 keys, unless ``check_keys`` is off.
     """
-    lines = spark.read.text(paths)
-    text = F.trim(F.regexp_replace("value", r"^\x{FEFF}", ""))
-    record = "map<string,string>"
-    as_array = F.from_json(text, f"array<{record}>")
-    parsed = lines.filter(F.length(text) > 0).select(
-        F.when(F.startswith(text, F.lit("[")), as_array)
-        .otherwise(F.array(F.from_json(text, record)))
-        .alias("records"),
-        text.alias("line"),
-    )
+    if layout == "any":
+        parsed = record_texts(spark, paths).select(F.array(F.from_json("text", RECORD)).alias("records"), F.col("text").alias("line"))
+    elif layout == "lines":
+        text = F.trim(F.regexp_replace("value", r"^\x{FEFF}", ""))
+        parsed = spark.read.text(paths).filter(F.length(text) > 0).select(
+            F.when(F.startswith(text, F.lit("[")), F.from_json(text, f"array<{RECORD}>"))
+            .otherwise(F.array(F.from_json(text, RECORD)))
+            .alias("records"),
+            text.alias("line"),
+        )
+    else:
+        raise ValueError('layout must be "lines" or "any"')
     whole = F.col("records").isNotNull() & ~F.exists("records", lambda r: r.isNull())
-    refused = F.raise_error(F.concat(F.lit("not one JSON value per line: "), F.substring("line", 1, 80)))
+    hint = "not one JSON value per line: " if layout == "lines" else "not a record: "
+    refused = F.raise_error(F.concat(F.lit(hint), F.substring("line", 1, 80)))
     records = parsed.select(F.explode(F.when(whole, F.col("records")).otherwise(refused)).alias("r"))
 
     def value(key):
@@ -43,15 +51,36 @@ def read_library_json(spark: SparkSession, paths, check_keys: bool = True) -> Da
     return records.select(*[value(key).alias(RENAMED_KEYS.get(key, key)) for key in RAW_KEYS])
 
 
-def write_library_json(raw: DataFrame, path: str) -> None:
-    """Raw records as JSON lines under the file's own key names."""
+def write_library_json(raw: DataFrame, path: str, layout: str = "lines") -> None:
+    """Raw records as JSON text under the file's own key names.
+
+    ``layout="lines"``: one record per line. ``layout="array"``: in each file one
+    array over many lines, with a line for every key.
+    """
     spark_names = {new: old for old, new in RENAMED_KEYS.items()}
     pairs = [
         part
         for column in raw.columns
         for part in (F.lit(spark_names.get(column, column)), F.col(column))
     ]
-    raw.select(F.to_json(F.create_map(*pairs)).alias("value")).write.text(path)
+    record = F.create_map(*pairs)
+    if layout == "lines":
+        raw.select(F.to_json(record).alias("value")).write.text(path)
+        return
+    lines = raw.select(F.to_json(record, {"pretty": "true"}).alias("value"))
+    # Rows and the brackets around them are written as they come, so each file is an array of its own.
+    lines.mapInArrow(_as_array, "value string").write.text(path)
+
+
+def _as_array(batches):
+    """The texts of a partition with brackets around them and commas between."""
+    before = "["
+    for batch in batches:
+        if batch.num_rows:
+            texts = [(before if k == 0 else ",") + text for k, text in enumerate(batch.column("value").to_pylist())]
+            before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(texts)], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
 
 
 # Lines that open and close a spectrum in MGF text.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import vectors as V
 from specloom.operators import candidates, ranking, similarity
+from specloom.operators.keys import triangle
 from specloom.plans.ms2ds import ms2ds_search
 from specloom.plans.spec2vec import spec2vec_search
 from tests.helpers import pairs, spectra
@@ -95,6 +96,21 @@ def test_self_similarity_is_symmetric_with_diagonal_one(spark):
     assert all(got[i, i] == 1.0 for i in defined)
 
 
+@pytest.mark.parametrize(("block_rows", "at_once"), [(6, 4), (9, 100), (100_000, 16), (100_000, 4_000_000)])
+def test_each_block_of_the_triangle_is_made_once(spark, monkeypatch, block_rows, at_once):
+    """As the whole matrix, for any blocks and tiles, from about half of its blocks."""
+    monkeypatch.setattr(similarity, "_SCORES_AT_ONCE", at_once)
+    rows = [(r[0], r[2]) for r in random_rows(40, "x", 12)] + [("twin", random_rows(40, "x", 12)[0][2]), ("zero", [0.0] * len(random_rows(1, "x", 12)[0][2]))]
+    df = spark.createDataFrame(rows, "spectrum_id string, vector array<double>")
+    names = "query_id", "ref_id", "score", "rank"
+    whole = similarity.cosine_matrix(similarity.as_queries(df), similarity.as_refs(df), 4)
+    assert pairs(similarity.self_similarity(df, 4, block_rows=block_rows), *names) == pairs(whole, *names)
+    left, right, cells = triangle(df, ["spectrum_id"], block_rows)
+    made = left.select(*cells).distinct().join(right.select(*cells).distinct(), cells).count()
+    parts = -(-len(rows) // block_rows)
+    assert made <= parts * (parts + 1) // 2
+
+
 @pytest.mark.parametrize("block_rows", [5, 100_000])
 def test_candidates_equal_brute_force_in_crowded_buckets(spark, block_rows):
     queries, refs = random_rows(50, "q", 8), random_rows(90, "r", 9)
