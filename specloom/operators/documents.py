@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -137,7 +139,7 @@ def _vector_table(word_vectors: DataFrame, dim: int):
     vectors = np.zeros((0, dim))
     if table.num_rows:
         vectors = np.array(pa.concat_arrays(table.column("vector").chunks).flatten()).reshape(table.num_rows, -1)[:, :dim]
-    return word_vectors.sparkSession.sparkContext.broadcast((words, vectors))
+    return word_vectors.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, words, vectors))
 
 
 def _cut(batches, dim: int):
@@ -153,13 +155,28 @@ def _cut(batches, dim: int):
             at = to
 
 
+# Of the last word table that this worker used: its name, and each word's row.
+_rows_of_words: tuple[str, dict[str, int]] = ("", {})
+
+
+def _places(words: pa.Array, name: str, table: pa.Array) -> np.ndarray:
+    """Each word's row in the table, -1 if it has none; the table is hashed once per worker, not once per batch."""
+    global _rows_of_words
+    if _rows_of_words[0] != name:
+        _rows_of_words = name, {w: i for i, w in enumerate(table.to_pylist())}
+    rows, coded = _rows_of_words[1], words.dictionary_encode()
+    found = np.array([rows.get(w, -1) for w in coded.dictionary.to_pylist()], np.int64)
+    # A null word has no row; the entry behind the last one stands for it.
+    return np.append(found, -1)[coded.indices.fill_null(len(found)).to_numpy(zero_copy_only=False)]
+
+
 def _summed(shared, dim: int, exponent: float):
     def work(batches):
-        words, vectors = shared.value
+        name, words, vectors = shared.value
         for part in _cut(batches, dim):
             owner = owners(part.column("weights"))
             weights = np.power(part.column("weights").flatten().to_numpy(zero_copy_only=False), exponent)
-            place = pc.index_in(part.column("words").flatten(), value_set=words).fill_null(-1).to_numpy(zero_copy_only=False)
+            place = _places(part.column("words").flatten(), name, words)
             known = place >= 0
             total = np.bincount(owner, weights=weights, minlength=part.num_rows)
             missing = np.bincount(owner[~known], weights=weights[~known], minlength=part.num_rows)

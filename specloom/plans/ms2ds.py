@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.functions.peaks import DEFAULT_BINS
 from specloom.operators.binning import bin_peaks, fit_bin_vocabulary
-from specloom.operators.candidates import apply_on_empty, union_candidates
+from specloom.operators.candidates import apply_on_empty, require_candidates, union_candidates
 from specloom.operators.cleaning import process_spectra
 from specloom.operators.keys import lookup_join
 from specloom.operators.models import DenseLayer, embed_binned
@@ -106,9 +106,7 @@ def ms2ds_search(
     requests are cut into blocks. A query without own candidates raises, by default.
     """
     if on_empty == "raise":
-        plain = queries.select("query_id", "query_mz", "request_id", *by)
-        per_query = union_candidates(plain.withColumn("request_id", F.col("query_id")), refs, mz_range, by)
-        apply_on_empty(plain, per_query.withColumnRenamed("request_id", "query_id"), "raise")
+        require_candidates(queries, refs, mz_range, by)
     union = materialise(union_candidates(queries, refs, mz_range, by), "candidates")
     vectors = materialise(
         lookup_join(union, refs.select("ref_id", "ref_vector", *by), ["ref_id"], ["request_id"]),

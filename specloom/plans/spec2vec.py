@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.operators.candidates import (
     apply_on_empty,
-    candidate_pairs,
     query_buckets,
     ref_bucket,
+    require_candidates,
 )
 from specloom.operators.documents import create_documents, embed_documents
 from specloom.operators.models import train_word_vectors
@@ -93,10 +93,7 @@ def spec2vec_search(
     they meet. A query without candidates raises, by default.
     """
     if on_empty == "raise":
-        pairs = candidate_pairs(
-            queries.select("query_id", "query_mz", *by), refs.select("ref_id", "ref_mz", *by), mz_range, by
-        )
-        apply_on_empty(queries, pairs, "raise")
+        require_candidates(queries, refs, mz_range, by)
     matches = blockwise_best(
         query_buckets(queries, "query_mz", mz_range),
         ref_bucket(refs, "ref_mz", mz_range),

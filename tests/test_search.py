@@ -111,6 +111,21 @@ def test_each_block_of_the_triangle_is_made_once(spark, monkeypatch, block_rows,
     assert made <= parts * (parts + 1) // 2
 
 
+@pytest.mark.parametrize("mz_range", [0.0, 0.05, 0.3, 1.0, 40.0])
+def test_queries_without_candidates_equal_brute_force(spark, mz_range):
+    """Found from bounds of buckets, also for windows that end on a bucket's border or a reference."""
+    queries, refs = random_rows(60, "q", 18), random_rows(25, "r", 19)
+    refs += [(f"b{k}", k * mz_range, queries[0][2], "positive", 0) for k in range(300, 310)]
+    queries += [(f"c{k}", k * mz_range, queries[0][2], "positive", 0) for k in range(297, 315)]
+    queries += [("null", None, queries[0][2], "positive", 0), ("other", queries[0][1], queries[0][2], "none such", 0)]
+    left, right = side(spark, queries, "query"), side(spark, refs, "ref")
+    expected = sorted(q[0] for q in queries if q[1] is None or not any(q[3] == r[3] and q[1] - mz_range <= r[1] <= q[1] + mz_range for r in refs))
+    found = candidates.without_candidates(left, right, mz_range)
+    assert sorted(r["query_id"] for r in found.collect()) == expected
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "ref_id" not in plan  # bounds of buckets only
+
+
 @pytest.mark.parametrize("block_rows", [5, 100_000])
 def test_candidates_equal_brute_force_in_crowded_buckets(spark, block_rows):
     queries, refs = random_rows(50, "q", 8), random_rows(90, "r", 9)
