@@ -17,10 +17,14 @@ and no posting list is cut.
    other's *long* one.
 4. First, one partner for each set (of the sets of a key with the fewest items
    of their own, the one with most keys in common) is verified and linked sets
-   are merged. Then every key is looked at again and only sets of
-   different components meet. So copies by the thousand cost a link each, not
-   all pairs. A pair that sizes and sketches of 128 bits show to be too different
-   isn't put out.
+   are merged. So copies by the thousand cost a link each, not all pairs.
+5. Then every key is looked at again, and sets of different components that
+   share one, and that sizes and sketches of 128 bits leave possible, are joined to
+   clusters. A bucket puts out a forest of them, not the pairs.
+6. The sets of a cluster meet, in blocks of bounded size, and their items are
+   counted against each other there. A block puts out a forest of the links.
+
+Items are compared by 64-bit hashes, so results are exact up to collisions of these.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm import textkernel as K
 from specloom.llm.components import connected_components
-from specloom.llm.exchange import U64, bucket_count, bucket_of, exchanged, pack, packed_schema
+from specloom.llm.exchange import U64, bucket_of, exchanged, pack, packed_schema
+from specloom.operators.keys import split_hot_keys
 from specloom.session import materialise
 
 WORDS = 5
@@ -42,8 +47,14 @@ RARE = 32
 SUBCLASS_ITEMS = 8
 # Bits of a set's sketch.
 SKETCH = 128
-# Pairs that one reducer holds before it hands them on.
+# Pairs that one reducer holds before it cuts them down to a forest.
 PAIR_BLOCK = 1_000_000
+# Sets of a cluster that meet at once.
+BLOCK_SETS = 4096
+# Packed bytes that a reducer is to take; its arrays are several times as large.
+BUCKET_BYTES = 32_000_000
+# Bits of the filter for documents whose sets are candidates: at most this many, so its size does not grow with the data.
+FILTER_BITS = 2**29
 # Sets of a key that are tried as partners of its other sets before all pairs of different components are.
 PARTNERS = 3
 
@@ -171,18 +182,61 @@ def _summed(arrays):
     yield pa.RecordBatch.from_pydict({"a": pa.array(sign), "shared": pa.array(shared)})
 
 
-def _candidate_sets(batches):
-    for part in K.text_slices(batches):
-        a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-        sets = shingle_sets(part)
-        keep = [i for i, s in enumerate(sets) if _signature(s) == (a[i], b[i])]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc": part.column("doc_id").take(pa.array(keep, pa.int64())),
-                "n": pa.array([len(sets[i]) for i in keep], pa.int64()),
-                "items": pa.array([sets[i].tobytes() for i in keep], pa.binary()),
-            }
-        )
+def _filter_places(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The bits of a Bloom filter that each id sets."""
+    h = K.mix(ids.view(U64))
+    return [(K.mix(h + U64(k)) & U64(bits - 1)).astype(np.int64) for k in range(3)]
+
+
+def _filter_words(bits: int):
+    def work(batches):
+        for batch in batches:
+            if batch.num_rows:
+                places = np.unique(np.concatenate(_filter_places(batch.column("doc_id").to_numpy(), bits)))
+                word, inverse = np.unique(places >> 6, return_inverse=True)
+                value = np.zeros(len(word), U64)
+                np.bitwise_or.at(value, inverse, U64(1) << (places & 63).astype(U64))
+                yield pa.RecordBatch.from_pydict({"word": pa.array(word), "value": pa.array(value.view(np.int64))})
+
+    return work
+
+
+def candidate_filter(candidates: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of the ``n`` candidates' ids, of 16 bits for each and ``FILTER_BITS`` at most.
+
+    It only spares texts a shuffle: where it is crowded, more sets than needed go on to the exact join.
+    """
+    bits = min(1 << max(int(16 * n - 1).bit_length(), 10), FILTER_BITS)
+    words = candidates.select("doc_id").mapInArrow(_filter_words(bits), "word long, value long")
+    out = np.zeros(bits >> 6, U64)
+    for r in words.groupBy("word").agg(F.bit_or("value").alias("value")).toLocalIterator():
+        out[r.word] = np.int64(r.value).view(U64)
+    return out
+
+
+def _candidate_sets(sent):
+    """The whole sets of the documents that pass the filter."""
+
+    def work(batches):
+        for batch in batches:
+            table = sent.value
+            ids = batch.column("doc_id").to_numpy()
+            keep = np.ones(len(ids), bool)
+            for place in _filter_places(ids, len(table) << 6):
+                keep &= (table[place >> 6] >> (place & 63).astype(U64)) & U64(1) > 0
+            for part in K.text_slices([batch.filter(pa.array(keep))]):
+                sets = shingle_sets(part)
+                signs = [_signature(s) for s in sets]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "a": pa.array([x for x, _ in signs], pa.int64()),
+                        "b": pa.array([x for _, x in signs], pa.int64()),
+                        "items": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    }
+                )
+
+    return work
 
 
 def _all_items(n_buckets: int):
@@ -203,8 +257,11 @@ def _frequencies(n_buckets: int):
     """The items of this bucket that several sets have, with their frequency; packed by set."""
 
     def reduce(arrays):
-        order = np.argsort(arrays["item"], kind="stable")
+        order = np.lexsort((arrays["doc"], arrays["item"]))
         item, doc, n = arrays["item"][order], arrays["doc"][order], arrays["n"][order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])
+        item, doc, n = item[new], doc[new], n[new]
         first, length = K.runs(item)
         many = np.repeat(length > 1, length)
         df = np.repeat(length, length)[many].astype(np.uint32)
@@ -378,8 +435,11 @@ def _partners(percent: int):
     return reduce
 
 
-def _open_pairs(percent: int):
-    """(doc, partner): sets of different components that share a key, each pair once a bucket and block."""
+def _open_clusters(percent: int):
+    """(doc, partner): a forest over the sets of different components that share a key and may link.
+
+    Sets of a key that are joined already, by way of others, aren't compared again.
+    """
 
     def reduce(arrays):
         a = _by_key(arrays)
@@ -388,28 +448,87 @@ def _open_pairs(percent: int):
         high = np.maximum.reduceat(a["component"], first) if len(first) else first
         found, held = [], 0
         for at, n in zip(first[low < high].tolist(), length[low < high].tolist()):
-            component = a["component"][at : at + n]
+            label, docs = np.arange(n), a["doc"][at : at + n]
             for i in range(n - 1):
-                right = at + i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
-                if not len(right):
-                    continue
-                left = np.full(len(right), at + i)
-                keep = _may_link(a, left, right, percent)
-                if keep.any():
-                    found.append(np.stack([a["doc"][right[keep]], a["doc"][left[keep]]]))
-                    held += int(keep.sum())
-                if held >= PAIR_BLOCK:
-                    yield _pairs(found)
-                    found, held = [], 0
+                right = np.flatnonzero(label != label[i])
+                right = right[right > i]
+                keep = right[_may_link(a, np.full(len(right), at + i), at + right, percent)] if len(right) else right
+                if len(keep):
+                    joined, one = np.unique(label[keep], return_index=True)
+                    found.append(np.stack([docs[keep[one]], np.full(len(one), docs[i])]))
+                    held += len(one)
+                    label[np.isin(label, joined)] = label[i]
+            if held >= PAIR_BLOCK:
+                found = [_forest(np.concatenate(found, axis=1))]
+                held = found[0].shape[1]
         if found:
-            yield _pairs(found)
+            pairs = _forest(np.concatenate(found, axis=1))
+            yield pa.RecordBatch.from_pydict({"doc": pa.array(pairs[0]), "partner": pa.array(pairs[1])})
 
     return reduce
 
 
-def _pairs(found):
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-    return pa.RecordBatch.from_pydict({"doc": pa.array(pairs[0]), "partner": pa.array(pairs[1])})
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """(2, n) pairs to (node, smallest node reachable), without the smallest ones themselves."""
+    nodes, ends = np.unique(pairs, return_inverse=True)
+    left, right = ends.reshape(2, -1)
+    root = np.arange(len(nodes))
+    while True:
+        new = root.copy()
+        least = np.minimum(root[left], root[right])
+        np.minimum.at(new, root[left], least)
+        np.minimum.at(new, root[right], least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = root != np.arange(len(nodes))
+    return np.stack([nodes[moved], nodes[root[moved]]])
+
+
+def _links_in_block(percent: int):
+    """(doc, partner): a forest of the links between sets of different components of one block."""
+
+    def links(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            doc, n, component = (right.column(c).to_numpy() for c in ("doc", "n", "component"))
+            sets = [np.frombuffer(x, U64) for x in right.column("items").to_pylist()]
+            item, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            order = np.argsort(item, kind="stable")
+            item, owner, label = item[order], owner[order], np.arange(len(sets))
+            for one, size, own, items in zip(*(left.column(c).to_pylist() for c in ("doc", "n", "component", "items"))):
+                open_ = (doc > one) & (component != own) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+                if not open_.any():
+                    continue
+                items = np.frombuffer(items, U64)
+                begin, end = np.searchsorted(item, items), np.searchsorted(item, items, "right")
+                total = end - begin
+                where = np.arange(total.sum()) + np.repeat(begin - np.cumsum(total) + total, total)
+                common = np.bincount(owner[where], minlength=len(sets))
+                linked = np.flatnonzero(open_ & (100 * common >= percent * (n + size - common)))
+                if len(linked):
+                    # One link to each of the sets that earlier links haven't joined.
+                    joined, first = np.unique(label[linked], return_index=True)
+                    found += [(int(doc[x]), one) for x in linked[first]]
+                    label[np.isin(label, joined)] = joined[0]
+        return pa.table({"doc": pa.array([x for x, _ in found], pa.int64()), "partner": pa.array([x for _, x in found], pa.int64())})
+
+    return links
+
+
+def linked_in_clusters(edges: DataFrame, merged: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """(doc, partner): links between sets (doc, n, items, component) that ``edges`` bring into one cluster.
+
+    Enough of them to connect what is linked. A cluster's sets are dealt to a
+    grid of blocks of up to ``block_sets``.
+    """
+    clusters = connected_components(edges.toDF("a", "b")).withColumnRenamed("node", "doc").withColumnRenamed("component", "cluster")
+    sets = materialise(clusters.join(merged.select("doc", "n", "items", "component"), "doc"), "jaccard-open-sets")
+    right = sets.select(*[F.col(c).alias(c) for c in sets.columns])
+    left, right, cells = split_hot_keys(sets, right, ["cluster"], ["doc"], ["doc"], block_sets, block_sets)
+    return left.groupby(*cells).cogroup(right.groupby(*cells)).applyInArrow(_links_in_block(percent), "doc long, partner long")
 
 
 def _verify(percent: int):
@@ -437,6 +556,12 @@ def verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def buckets_for(sets: DataFrame, item_bytes: float) -> int:
+    """Buckets for the items of ``sets`` (n), so that one gets about ``BUCKET_BYTES``."""
+    items = sets.agg(F.sum("n")).first()[0] or 0
+    return int(items * item_bytes // BUCKET_BYTES) + 1
+
+
 def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``documents`` (doc_id, text, ...).
 
@@ -447,25 +572,27 @@ def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -
     out as often as they came in. Other columns are not looked at.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n_buckets = bucket_count(docs)
     sizes = materialise(docs.mapInArrow(_sizes, "doc_id long, n long, a long, b long"), "jaccard-sizes")
+    # A prefix is two fifths of a set; an item takes twice its 8 bytes.
+    n_buckets = buckets_for(sizes, 16 * 0.4)
     classes = sizes.filter("n > 0 and doc_id is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc_id"))
 
     first = docs.filter("text is not null and doc_id is not null").mapInArrow(
         _first_prefixes(n_buckets, percent), packed_schema({"sign": 0}, {"item": 0})
     )
     shared = exchanged(
-        first, {"sign": np.int64}, {"item": U64}, _shared_counts(n_buckets), packed_schema({"sign": 0}, {"shared": 0})
+        first, {"sign": np.int64}, {"item": U64}, _shared_counts(n_buckets), packed_schema({"sign": 0}, {"shared": 0}), n_buckets=n_buckets
     )
-    shared = exchanged(shared, {"sign": np.int64}, {"shared": np.uint32}, _summed, "a long, shared long")
+    shared = exchanged(shared, {"sign": np.int64}, {"shared": np.uint32}, _summed, "a long, shared long", n_buckets=n_buckets)
     least = f"ceil(ceil(n * {percent} / 100) * 15 / 100)"
     candidates = materialise(
-        classes.join(shared, "a").filter(f"shared >= {least}").select("doc_id", "a", "b"), "jaccard-candidates"
+        classes.join(shared, "a").filter(f"shared >= {least}").select("doc_id", "a", "b", "n"), "jaccard-candidates"
     )
-    sets = docs.filter("text is not null").join(candidates, "doc_id").mapInArrow(
-        _candidate_sets, "doc long, n long, items binary"
-    )
-    sets = materialise(sets.dropDuplicates(["doc"]), "jaccard-sets")
+    passing = docs.sparkSession.sparkContext.broadcast(candidate_filter(candidates, candidates.count()))
+    whole = docs.filter("text is not null and doc_id is not null").mapInArrow(_candidate_sets(passing), "doc_id long, a long, b long, items binary")
+    # Repeated rows are still in here; where items meet, a set counts once.
+    sets = candidates.join(whole, ["doc_id", "a", "b"]).select(F.col("doc_id").alias("doc"), "n", "items")
+    n_buckets = buckets_for(candidates, 20)
 
     runs = {"doc": np.int64, "n": np.int64}
     profiles = exchanged(
@@ -474,27 +601,23 @@ def jaccard_classes(documents: DataFrame, percent: int = 75, rare: int = RARE) -
         {"item": U64},
         _frequencies(n_buckets),
         packed_schema(runs, {"item": 0, "df": 0}),
+        n_buckets=n_buckets,
     )
-    profiles = exchanged(
-        profiles, runs, {"item": U64, "df": np.uint32}, _profiles, "doc long, n long, items binary, df binary, sketch binary"
-    )
+    schema = "doc long, n long, items binary, df binary, sketch binary"
+    profiles = exchanged(profiles, runs, {"item": U64, "df": np.uint32}, _profiles, schema, n_buckets=n_buckets)
     profiles = materialise(profiles, "jaccard-profiles")
 
     def keys(components: DataFrame, every: int) -> DataFrame:
         return components.mapInArrow(_keyed(n_buckets, percent, every, rare), packed_schema(RUNS, ITEMS))
 
-    links, merged = None, profiles.withColumn("component", F.col("doc"))
-    for every in (4, 0):
-        if every:
-            found = exchanged(keys(merged, every), RUNS, ITEMS, _partners(percent), "doc long, partner long, shared long")
-            pairs = found.groupBy("doc").agg(F.max_by("partner", F.struct("shared", -F.col("partner"))).alias("partner"))
-        else:
-            pairs = exchanged(keys(merged, 1), RUNS, ITEMS, _open_pairs(percent), "doc long, partner long").distinct()
-        new = materialise(verified(materialise(pairs, "jaccard-pairs"), profiles, percent), "jaccard-links")
-        links = links.unionByName(new) if links else new
-        if every:
-            merged = profiles.join(connected_components(links.toDF("a", "b")).withColumnRenamed("node", "doc"), "doc", "left")
-            merged = merged.withColumn("component", F.coalesce("component", "doc"))
+    merged = profiles.withColumn("component", F.col("doc"))
+    found = exchanged(keys(merged, 4), RUNS, ITEMS, _partners(percent), "doc long, partner long, shared long", n_buckets=n_buckets)
+    pairs = found.groupBy("doc").agg(F.max_by("partner", F.struct("shared", -F.col("partner"))).alias("partner"))
+    links = materialise(verified(materialise(pairs, "jaccard-pairs"), profiles, percent), "jaccard-links")
+    merged = profiles.join(connected_components(links.toDF("a", "b")).withColumnRenamed("node", "doc"), "doc", "left")
+    merged = materialise(merged.withColumn("component", F.coalesce("component", "doc")), "jaccard-merged")
+    edges = exchanged(keys(merged, 1), RUNS, ITEMS, _open_clusters(percent), "doc long, partner long", n_buckets=n_buckets)
+    links = links.unionByName(linked_in_clusters(materialise(edges, "jaccard-edges"), merged, percent))
 
     components = connected_components(links.toDF("a", "b"))
     named = classes.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -162,3 +162,40 @@ def test_line_dedup_equals_brute_force(documents):
         want.append((i, len(filled), len(gone), kept))
     assert sorted([(r.doc_id, r.n_lines, r.n_removed, r.text) for r in got], key=str) == sorted(want, key=str)
     assert {"lang", "text.n", "score", "rest"} <= set(line_dedup(documents([])).columns)
+
+
+@pytest.mark.parametrize("block_sets", [50, 4096])
+def test_near_copies_around_the_threshold_equal_brute_force(documents, monkeypatch, block_sets):
+    """A large group of which many pairs lie just below 75 %, and some just above, in one block or a grid of them."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(jaccard_join.linked_in_clusters, "__defaults__", (block_sets,))
+    base = words(41, 160)
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for k in range(3 + i % 3):  # each changed word breaks five shingles
+            text[(i * 7 + k * 31) % 160] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, rows[i][1]) for i in range(40)] + [rows[5]] * 3
+    got = sorted(map(tuple, jaccard_classes(documents(rows)).collect()))
+    assert got == classes(rows)
+    assert len({r[2] for r in got}) > 50
+
+
+def test_a_forest_joins_what_pairs_join():
+    import numpy as np
+
+    pairs = np.array([[5, 9, 3, 8, 20, 21], [9, 3, 4, 8, 21, 20]])
+    assert sorted(zip(*jaccard_join._forest(pairs).tolist())) == [(4, 3), (5, 3), (9, 3), (21, 20)]
+
+
+def test_the_filter_passes_every_candidate(spark):
+    import numpy as np
+
+    ids = spark.range(0, 5000, 7).toDF("doc_id")
+    table = jaccard_join.candidate_filter(ids, ids.count())
+    all_ids = np.arange(5000)
+    keep = np.ones(5000, bool)
+    for place in jaccard_join._filter_places(all_ids, len(table) << 6):
+        keep &= (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+    assert keep[::7].all() and keep.sum() < 1000
