@@ -8,7 +8,7 @@ and nobody without the key can tell which.
 
 | kind | validated by | permuted |
 |-|-|-|
-| card number | Luhn | all digits but the last, which is made to fit |
+| card number | Luhn, also beside other digits | all digits but the last, which is made to fit |
 | IBAN | modulo 97 | letters and digits after the check digits, which are made to fit |
 | IPv4 address | four numbers up to 255 | 32 bits |
 | date | the calendar, 1800 to 2199 | the day among the 400 years |
@@ -23,17 +23,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
-KEY = "specloom"
 
 # Forms of the kinds: fixed patterns, in the order in which they are tried.
 FORMS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # The host is one run of characters, as long as a host may be: a group for each label would be a call for each.
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-][A-Za-z0-9.-]{0,250}\.[A-Za-z]{2,63}",
     "secret": r"AKIA[0-9A-Z]{16}|[0-9a-f]{40}|password=[0-9A-Za-z]{8,64}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ipv4": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
     "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}"
+    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}|\+[0-9]{7,15}"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
@@ -141,16 +141,39 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
+def _valid_part(value: Column, is_valid, make, inner: bool) -> Column:
+    """``value`` with the longest valid part between separators replaced by ``make`` of it; null if none is valid.
+
+    A pattern takes neighbouring numbers along, such as a year or a check number. Parts
+    begin at the start or, if ``inner``, behind any separator.
+    """
+    places = F.sequence(F.lit(1), F.length(value))
+    borders = F.filter(places, lambda i: F.substring(value, i, F.lit(1)).isin(" ", "-"))
+    starts = F.concat(F.array(F.lit(1)), F.transform(borders, lambda i: i + 1)) if inner else F.array(F.lit(1))
+    ends = F.concat(F.transform(borders, lambda i: i - 1), F.array(F.length(value)))
+    parts = F.flatten(F.transform(starts, lambda a: F.transform(ends, lambda b: F.struct((a - b - 1).alias("less"), a.alias("start")))))
+    text = lambda p: F.substring(value, p["start"], -p["less"])
+    best = F.get(F.filter(F.array_sort(parts), lambda p: (p["less"] < 0) & F.coalesce(is_valid(text(p)), F.lit(False))), F.lit(0))
+
+    def replaced(p):
+        new = make(text(p))
+        return F.concat(F.substring(value, F.lit(1), p["start"] - 1), new, F.substring(value, p["start"] - p["less"], F.length(value)))
+
+    return _let(best, lambda p: F.when(p.isNotNull(), replaced(p)))
+
+
 def _card(value: Column, key: str) -> Column:
-    def body(d):
+    def is_valid(part):
+        return _let(_digits(part), lambda d: F.when(F.length(d).between(13, 19), luhn_sum(d) % 10 == 0))
+
+    def make(part):
         def whole(front):
             missing = F.pmod(10 - luhn_sum(F.concat(front, F.lit("0"))), F.lit(10))
-            return _refilled(value, F.concat(front, missing.cast("string")))
+            return _refilled(part, F.concat(front, missing.cast("string")))
 
-        new = _let(permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), "card", key), whole)
-        return F.when(luhn_sum(d) % 10 == 0, new)
+        return _let(_digits(part), lambda d: _let(permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), "card", key), whole))
 
-    return _let(_digits(value), body)
+    return _valid_part(value, is_valid, make, inner=True)
 
 
 def _mod97(text: Column) -> Column:
@@ -162,17 +185,26 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    def body(s):
-        land, check, rest = F.substring(s, 1, 2), F.substring(s, 3, 2), F.substring(s, F.lit(5), F.length(s))
+    plain = lambda part: F.regexp_replace(part, " ", "")
+    rest = lambda s: F.substring(s, F.lit(5), F.length(s))
+
+    def is_valid(part):
+        check = lambda s: (F.length(s) >= 15) & (F.length(s) <= 34) & (_mod97(F.concat(rest(s), F.substring(s, 1, 4))) == 1)
+        return _let(plain(part), check)
+
+    def make(part):
+        def body(s):
+            land = F.substring(s, 1, 2)
+
+            def whole(new):
+                fits = F.lpad((98 - _mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0")
+                return _refilled(part, F.concat(land, fits, new), "[ ]")
 
-        def whole(new):
-            fits = F.lpad((98 - _mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0")
-            return _refilled(value, F.concat(land, fits, new), "[ ]")
+            return _let(permute_letters(rest(s), "iban", key), whole)
 
-        valid = (F.length(s) >= 15) & (F.length(s) <= 34) & (_mod97(F.concat(rest, land, check)) == 1)
-        return F.when(valid, _let(permute_letters(rest, "iban", key), whole))
+        return _let(plain(part), body)
 
-    return _let(F.regexp_replace(value, " ", ""), body)
+    return _valid_part(value, is_valid, make, inner=False)
 
 
 def _ipv4(value: Column, key: str) -> Column:
@@ -237,8 +269,8 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def _email(value: Column, key: str) -> Column:
-    name = F.substring_index(value, "@", 1)
-    return F.concat(permute_letters(name, "email", key), F.lit("@"), F.substring_index(value, "@", -1))
+    name, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    return F.when(~F.contains(host, F.lit("..")), F.concat(permute_letters(name, "email", key), F.lit("@"), host))
 
 
 def _secret(value: Column, key: str) -> Column:
@@ -251,7 +283,7 @@ def _secret(value: Column, key: str) -> Column:
 KINDS = {"email": _email, "secret": _secret, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
+def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one value; null if it is of no kind, or not valid."""
     out = None
     for kind, make in KINDS.items():
@@ -260,13 +292,14 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     """(doc_id, n_replaced, text) of each row of ``documents``, with pseudonyms in place of valid values.
 
     Null text stays null and has none. Texts without a valid value come out
     unchanged. The result depends on text and key only, so repeated rows come
     out alike, and rows without a doc_id as any other. Other columns are not
-    looked at.
+    looked at. Texts may be of any length: no pattern takes more of one than a value may have. Who has the key can tell the
+    values again, so keep it apart from the texts.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = docs.withColumn("_found", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))

@@ -81,7 +81,7 @@ def op9_language_id(spark, sf_dir):
 
 @query
 def op10_pii_pseudonyms(spark, sf_dir):
-    return pseudonymise(table(spark, sf_dir, "documents"))
+    return pseudonymise(table(spark, sf_dir, "documents"), key="specloom")
 
 
 @query
