@@ -15,6 +15,7 @@ from specloom.plans import ms2ds, spec2vec
 from specloom.plans.library import prepare_library
 from specloom.session import materialise, new_path, ship_package
 from specloom.sources import datasets, library, store
+from specloom.sources.keyed import KeyedTable
 
 REGISTRY = {}
 
@@ -138,18 +139,22 @@ def _negative(spark, sf):
 
 @query
 def upsert_spectra(spark, sf):
-    path = new_path(spark, "store")
-    datasets.write_version(_negative(spark, sf), path)
-    merged = store.upsert_spectra(
-        datasets.read_version(spark, path), t.remeasured(spark, sf), ["measured_at", "pos", "precursor_mz"]
-    )
-    datasets.write_version(merged, path)
-    return datasets.read_version(spark, path)
+    table = _keyed(spark, "store", _negative(spark, sf))
+    table.upsert(t.remeasured(spark, sf), ["measured_at", "pos", "precursor_mz"])
+    return table.read()
+
+
+def _keyed(spark, name, first, *partition_by) -> KeyedTable:
+    """A keyed table that holds ``first``."""
+    table = KeyedTable.create(spark, new_path(spark, name), first.schema, partition_by, n_buckets=8)
+    table.upsert(first, ["spectrum_id"])
+    return table
 
 
 @query
 def cache_new_spectra(spark, sf):
-    new, ids = store.cache_new_spectra(t.library(spark, sf), _negative(spark, sf))
+    ids = t.library(spark, sf).select("spectrum_id")
+    new = _keyed(spark, "cache", _negative(spark, sf)).only_new(t.library(spark, sf))
     marked = new.select("spectrum_id", F.lit(True).alias("new"))
     return ids.join(marked, "spectrum_id", "left").select(
         "spectrum_id", F.coalesce("new", F.lit(False)).cast("int").alias("is_new")
@@ -210,11 +215,9 @@ def write_embeddings(spark, sf):
         F.col("ion_mode") == "negative"
     )
     batch = negated.unionByName(_embedding_table(spark, sf, "ms2deepscore")).withColumn("pos", F.lit(0))
-    path = new_path(spark, "embeddings")
-    datasets.write_version(table, path, ("project", "ion_mode"))
-    merged = store.write_embeddings(datasets.read_version(spark, path), batch, ["pos"])
-    datasets.write_version(merged, path, ("project", "ion_mode"))
-    return _first(datasets.read_version(spark, path))
+    keyed = _keyed(spark, "embeddings", table, "project", "ion_mode")
+    keyed.upsert(batch, ["pos"])
+    return _first(keyed.read())
 
 
 @query
@@ -222,8 +225,9 @@ def write_binned(spark, sf):
     table = t.binned(spark, sf, 100)
     unpowered = t.processed(spark, sf).filter(F.col("ion_mode") == "negative").transform(binning.bin_peaks, 100, 1.0)
     batch = unpowered.select(*table.columns, F.lit(0).alias("pos"))
-    merged = store.write_binned(table, batch, ["pos"])
-    return _bin_rows(materialise(merged, "binned-store"), "ion_mode")
+    keyed = _keyed(spark, "binned-store", table, "ion_mode")
+    keyed.upsert(batch, ["pos"])
+    return _bin_rows(keyed.read(), "ion_mode")
 
 
 @query
@@ -755,8 +759,8 @@ def spec2vec_index(spark, sf):
     paths = new_path(spark, "library"), new_path(spark, "embeddings")
     vectors, spectra = _library_word_vectors(spark, sf), t.spectra(spark, sf)
     for batch in (spectra, spectra.limit(0), spectra):
-        indexed = spec2vec.spec2vec_index(spark, batch, vectors, "positive", *paths, dim=t.WORD_DIM)
-    stored = spark.read.parquet(paths[0]).groupBy("spectrum_id").agg(F.count("*").alias("n_stored"))
+        indexed = spec2vec.spec2vec_index(spark, batch, vectors, "positive", *paths, 8, dim=t.WORD_DIM)
+    stored = KeyedTable(spark, paths[0]).read().groupBy("spectrum_id").agg(F.count("*").alias("n_stored"))
     return _first(indexed).join(stored, "spectrum_id", "left")
 
 
@@ -799,7 +803,7 @@ def ms2ds_index(spark, sf):
     binned = t.binned(spark, sf, 100)
     vocabulary, path = binning.fit_bin_vocabulary(binned), new_path(spark, "embeddings")
     for batch in (binned, binned.limit(0), binned):
-        indexed = ms2ds.ms2ds_index(spark, batch, vocabulary, network(100), "negative", path, 100)
+        indexed = ms2ds.ms2ds_index(spark, batch, vocabulary, network(100), "negative", path, 100, 8)
     return _vector_rows(indexed, "project", "ion_mode")
 
 

@@ -21,7 +21,7 @@ from specloom.operators.structures import (
     with_structure_key,
 )
 from specloom.session import materialise
-from specloom.sources.store import replace_embeddings
+from specloom.sources.keyed import KeyedTable
 
 PROJECT = "ms2deepscore"
 
@@ -79,13 +79,16 @@ def ms2ds_index(
     ion_mode: str,
     embeddings_path: str,
     n_bins: int = DEFAULT_BINS,
+    n_buckets: int = 64,
 ) -> DataFrame:
-    """Replace one ion mode's embeddings; Spark's partitions serve as chunks of ids."""
+    """Swap one ion mode's embeddings in a keyed table at once; Spark's partitions serve as chunks of ids."""
     mine = binned.filter(F.col("ion_mode") == ion_mode)
     embedded = embed_binned(mine, vocabulary, layers, n_bins).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
-    return replace_embeddings(spark, embedded, embeddings_path, PROJECT, ion_mode)
+    embeddings = KeyedTable.open(spark, embeddings_path, embedded.schema, ("project", "ion_mode"), n_buckets)
+    embeddings.replace(embedded, project=PROJECT, ion_mode=ion_mode)
+    return embeddings.read(project=PROJECT, ion_mode=ion_mode)
 
 
 def ms2ds_search(

@@ -16,8 +16,8 @@ from specloom.operators.ranking import DEFAULT_N_BEST, attach_metadata
 from specloom.operators.similarity import BLOCK_ROWS, blockwise_best
 from specloom.plans.library import prepare_library
 from specloom.session import materialise
-from specloom.sources.datasets import path_exists
-from specloom.sources.store import new_rows, replace_embeddings
+from specloom.sources.keyed import KeyedTable
+from specloom.sources.store import smallest_hash
 
 PROJECT = "spec2vec"
 
@@ -53,25 +53,26 @@ def spec2vec_index(
     ion_mode: str,
     spectra_path: str,
     embeddings_path: str,
+    n_buckets: int = 64,
     **embedding,
 ) -> DataFrame:
     """Append unknown spectra to the library and replace one ion mode's embeddings.
 
-    Known ids are looked up in the library at ``spectra_path``, so a second run
-    adds nothing. The ion mode's old embeddings go first: what can no longer be
-    embedded does not stay. The other partitions of both tables are not touched.
+    Both paths are keyed tables. Known ids are told by the library's filters of ids, so a
+    second run adds nothing and new ids don't move the library. The ion mode's
+    embeddings are swapped at once: what can no longer be embedded does not
+    stay, and readers see the old ones until the new ones are whole. The other
+    partitions of both tables are not touched.
     """
     mine = spectra.filter(F.col("ion_mode") == ion_mode)
-    if path_exists(spark, spectra_path):
-        stored = spark.read.schema(mine.schema).parquet(spectra_path)
-    else:
-        stored = mine.limit(0)
-    fresh = materialise(new_rows(mine, stored), "new-spectra")
-    fresh.write.mode("append").partitionBy("ion_mode").parquet(spectra_path)
+    library = KeyedTable.open(spark, spectra_path, mine.schema, ("ion_mode",), n_buckets)
+    library.append_new(mine, [smallest_hash(mine)])
     embedded = embed_spectra(mine, word_vectors, **embedding).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
-    return replace_embeddings(spark, embedded, embeddings_path, PROJECT, ion_mode)
+    embeddings = KeyedTable.open(spark, embeddings_path, embedded.schema, ("project", "ion_mode"), n_buckets)
+    embeddings.replace(embedded, project=PROJECT, ion_mode=ion_mode)
+    return embeddings.read(project=PROJECT, ion_mode=ion_mode)
 
 
 def spec2vec_search(

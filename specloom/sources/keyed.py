@@ -107,6 +107,12 @@ class KeyedTable:
         table._commit(_Manifest(0, schema.json(), list(partition_by), n_buckets))
         return table
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, schema: StructType, partition_by: tuple[str, ...] = (), n_buckets: int = 64, key: str = "spectrum_id") -> KeyedTable:
+        """The table in ``path``, created if there is none."""
+        table = cls(spark, path, key)
+        return table if table.versions() else cls.create(spark, path, schema, partition_by, n_buckets, key)
+
     def _bucketed(self, df: DataFrame, n_buckets: int) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(n_buckets)).cast("int"))
 
@@ -131,7 +137,7 @@ class KeyedTable:
         below = [n for n in self._names(path) if "=" in n]
         return [f"{n}/{rest}".rstrip("/") for n in below for rest in self._bucket_folders(f"{path}/{n}", depth - 1)]
 
-    def upsert(self, batch: DataFrame, order_by: list[str]) -> int:
+    def upsert(self, batch: DataFrame, order_by: list[str | Column]) -> int:
         """Insert or replace; the last write of an id, by ``order_by``, wins. Touches the batch's buckets only."""
         old = self.manifest()
         schema = self._schema(old)
@@ -140,7 +146,7 @@ class KeyedTable:
         rows = batch.groupBy(*by).agg(last.alias("_row")).select(*by, "_row.*").select(*schema.fieldNames())
         return self._add(rows, old, deleted=False)
 
-    def append_new(self, batch: DataFrame, order_by: list[str]) -> int:
+    def append_new(self, batch: DataFrame, order_by: list[str | Column]) -> int:
         """Insert the ids that aren't stored; stored rows stay as they are."""
         return self.upsert(self.only_new(batch), order_by)
 

@@ -7,7 +7,7 @@ additions, appended.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from specloom.schema import check_ion_mode
 from specloom.session import materialise
@@ -40,8 +40,12 @@ def new_rows(batch: DataFrame, store: DataFrame, key: str = "spectrum_id") -> Da
     order of writing matters, apply ``latest_per_id`` first.
     """
     fresh = batch.join(_ids(store, key), key, "left_anti").select(*batch.columns)
-    texts = [F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in batch.dtypes]
-    return latest_per_id(fresh.withColumn("_order", -F.xxhash64(*texts)), ["_order"], key).drop("_order")
+    return latest_per_id(fresh.withColumn("_order", smallest_hash(fresh)), ["_order"], key).drop("_order")
+
+
+def smallest_hash(df: DataFrame) -> Column:
+    """An order by which the last of equal ids is the one with the smallest hash."""
+    return -F.xxhash64(*[F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in df.dtypes])
 
 
 def cache_new_spectra(
