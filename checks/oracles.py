@@ -267,6 +267,7 @@ oracle(
 
 # Joins
 oracle("precursor_range", "select spectrum_id, precursor_mz from lib where precursor_mz between 200 and 300")
+ORACLES["precursor_range_clustered"] = ORACLES["precursor_range"]
 oracle(
     "precursor_candidates",
     """select emb.spectrum_id as query_id, lib.spectrum_id as ref_id from emb left join lib

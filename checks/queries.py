@@ -14,7 +14,7 @@ from specloom.operators import binning, candidates, chunks, cleaning, documents,
 from specloom.plans import ms2ds, spec2vec
 from specloom.plans.library import prepare_library
 from specloom.session import materialise, new_path, ship_package
-from specloom.sources import datasets, library, store
+from specloom.sources import clustered, datasets, library, store
 from specloom.sources.keyed import KeyedTable
 
 REGISTRY = {}
@@ -478,6 +478,14 @@ def precursor_range(spark, sf):
     return candidates.precursor_range(t.library(spark, sf), 200.0, 300.0)
 
 
+@query
+def precursor_range_clustered(spark, sf):
+    """The same window in a library laid out by m/z: only the files that it touches are read."""
+    path = new_path(spark, "clustered")
+    clustered.write_clustered(t.library(spark, sf), path, n_files=32)
+    return clustered.clustered_range(spark, path, 200, 300).select("spectrum_id", "precursor_mz")
+
+
 @query
 def precursor_candidates(spark, sf):
     queries = t.query_side(t.embeddings(spark, sf))
