@@ -27,9 +27,12 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85
-ROUNDS = 10
-# Rounds between two writes of the ranks.
+# Ranks are spread until none changes by more than this share of itself in a round, and no further host is reached.
+SETTLED = 1e-3
+# Rounds between two writes of the ranks, after each of which this is looked at.
 WRITE_EVERY = 5
+# A host name is no longer than this; longer ones are spelled wrong and have no domains above them.
+LONGEST_HOST = 253
 TOLERANCE = 1.0
 # Relative difference below which two ranks count as equal: sums of doubles depend on the order a little.
 EQUAL = 1e-9
@@ -69,7 +72,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     above = F.transform(
         F.sequence(F.lit(2), F.size(labels)), lambda i: F.struct(i.alias("at"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("domain"))
     )
-    domains = hosts.filter(F.size(labels) > 1).select("host", F.explode(above).alias("above")).select("host", "above.*")
+    domains = hosts.filter((F.size(labels) > 1) & (F.length("host") <= LONGEST_HOST)).select("host", F.explode(above).alias("above")).select("host", "above.*")
     nearest = domains.join(hosts.select(F.col("host").alias("domain")), "domain").groupBy("host").agg(F.min_by("domain", "at").alias("domain"))
     ties = nearest.select(F.col("host").alias("source"), F.col("domain").alias("target"))
     ties = ties.unionByName(ties.select(F.col("target").alias("source"), F.col("source").alias("target")))
@@ -77,24 +80,33 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return both.groupBy("source", "target").agg(F.sum("n").alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, host, rank): personalised PageRank of both kinds at once.
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
+    """(kind, host, rank): personalised PageRank of both kinds at once, until it has settled.
 
     ``edges`` (kind, source, target, share): the share of a source's rank that
     a target gets; shares of a source add up to one. ``seeds`` (kind, host,
     start) add up to one for each kind. Rank that ends at a host without
     edges is not handed back. Contributions to a host are added up before
-    they are shuffled.
+    they are shuffled. As many rounds as the farthest host that a seed reaches has links to it,
+    and some forty for what goes round in circles.
     """
     ranks = seeds.select("kind", "host", F.col("start").alias("rank"))
-    for number in range(1, rounds + 1):
-        given = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"])
-        given = given.select("kind", F.col("target").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
-        start = seeds.select("kind", "host", ((1 - damping) * F.col("start")).alias("rank"))
-        ranks = given.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if number % WRITE_EVERY == 0:
-            ranks = materialise(ranks, "host-ranks")
-    return ranks
+    start = seeds.select("kind", "host", ((1 - damping) * F.col("start")).alias("rank"), F.lit(0.0).alias("before"))
+    while True:
+        for number in range(WRITE_EVERY):
+            given = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"])
+            given = given.select("kind", F.col("target").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"), F.lit(0.0).alias("before"))
+            parts = given.unionByName(start)
+            if number == WRITE_EVERY - 1:
+                parts = parts.unionByName(ranks.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("before")))
+            ranks = parts.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+            if number < WRITE_EVERY - 1:
+                ranks = ranks.drop("before")
+        ranks = materialise(ranks, "host-ranks")
+        moved = ranks.filter(F.abs(F.col("rank") - F.col("before")) > settled * F.greatest("rank", "before"))
+        ranks = ranks.drop("before")
+        if moved.isEmpty():
+            return ranks
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE) -> DataFrame:
@@ -102,7 +114,8 @@ def url_verdicts(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE) ->
 
     Urls that are null or have no :// have an empty host and path, fit no rule
     and are allowed. Null pages have no links. Rows that repeat come out as
-    often; their links count as often. Other columns are not looked at.
+    often; their links count as often. Hosts longer than ``LONGEST_HOST`` have
+    no domains above them. Other columns are not looked at.
     """
     seen = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     seen = with_rule(seen.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html"), rules)
