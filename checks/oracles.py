@@ -428,6 +428,19 @@ oracle(
     from (select spectrum_id, cast(strlen(t) + 1184 as bigint) as n_bytes from lib join texts using (k))""",
     texts=PEAK_TEXT,
 )
+oracle(
+    "chunk_by_bytes_greedy",
+    """select spectrum_id, n_bytes, chunk from run join begun on i between first and last""",
+    texts=PEAK_TEXT,
+    run="""select spectrum_id, n_bytes, row_number() over (order by spectrum_id) as i, sum(n_bytes) over (order by spectrum_id rows unbounded preceding) as upto
+      from (select spectrum_id, cast(strlen(t) + 1184 as bigint) as n_bytes from lib join texts using (k))""",
+    total="select max(i) as n from run",
+    begun="""with recursive r as (
+        select cast(0 as bigint) as chunk, cast(1 as bigint) as first, (select coalesce(min(i), max(n)) from total left join run on upto >= 150000) as last
+        union all select r.chunk + 1, r.last + 1, coalesce((select min(i) from run where upto >= 150000 + (select upto from run where i = r.last)), (select n from total))
+        from r where r.last < (select n from total))
+      select * from r""",
+)
 oracle(
     "chunk_ids",
     "select spectrum_id, cast(floor((row_number() over (order by spectrum_id) - 1) / 1000) as bigint) as chunk from lib",

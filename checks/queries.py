@@ -655,6 +655,12 @@ def nest_matches(spark, sf):
 
 @query
 def chunk_by_bytes(spark, sf):
+    return chunks.chunk_by_bytes(t.raw(spark, sf), 150_000, rule="offset")
+
+
+@query
+def chunk_by_bytes_greedy(spark, sf):
+    """Each chunk closed by the record that fills it."""
     return chunks.chunk_by_bytes(t.raw(spark, sf), 150_000)
 
 

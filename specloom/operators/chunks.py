@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from specloom.operators.greedy_chunks import greedy_chunks
 from specloom.session import materialise
 
 # Fixed value: bytes after which a chunk is closed.
@@ -57,18 +58,25 @@ def chunk_ids(ids: DataFrame, chunk_size: int, order_by: list[str] | None = None
 
 
 def chunk_by_bytes(
-    raw: DataFrame, chunk_size: int = DEFAULT_CHUNK_BYTES, order_by: str = "spectrum_id"
+    raw: DataFrame, chunk_size: int = DEFAULT_CHUNK_BYTES, order_by: str = "spectrum_id", rule: str = "greedy"
 ) -> DataFrame:
     """(order_by, n_bytes, chunk): records cut into chunks of about ``chunk_size`` bytes.
 
-    A record belongs to the chunk in which its first byte falls, counted over
-    the whole library. Every record has one chunk and the order is kept; unlike
-    closing chunks one after another, a chunk's overshoot shortens the next one.
+    Every record has one chunk, and the order is kept. ``rule="greedy"``: a chunk
+    is closed by the record with which it has ``chunk_size`` bytes or more, and
+    the next one begins. ``rule="offset"``: a record belongs to the chunk in
+    which its first byte falls, counted over the whole library, so a chunk's
+    overshoot shortens the next one; this takes one pass less.
     """
+    if rule not in ("greedy", "offset"):
+        raise ValueError('rule must be "greedy" or "offset"')
     sized = raw.select(
         order_by, (F.octet_length("peaks_json") + RECORD_OVERHEAD).cast("bigint").alias("n_bytes")
     )
-    placed = _with_offsets(_range_sorted(sized, [order_by]), F.sum("n_bytes"), "_offset")
+    ranges = _range_sorted(sized, [order_by])
+    if rule == "greedy":
+        return greedy_chunks(ranges, chunk_size, order_by)
+    placed = _with_offsets(ranges, F.sum("n_bytes"), "_offset")
     running = F.sum("n_bytes").over(
         Window.partitionBy("_part").orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
     )
