@@ -12,7 +12,7 @@ def test_pipeline(spark, tmp_path):
     rows += [(200 + i, " ".join(base if i < 2 else edited(base, i, 0.02))) for i in range(4)]
     rows += [(300, " ".join(words(7, 30) + item)), (301, "p\nq\nr\nown"), (302, "p\nq\nr\nmine"), (302, "p\nq\nr\nmine"), *ODD]
     toxic = [(i, " ".join([*words(10 + i, 20), "blorg", "blorgs"])) for i in range(1000, 1060)]
-    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows + toxic], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1) for i, t in rows + toxic], "doc_id long, text string, lang string, source string, n_chars long, `text.n` int").write.parquet(f"{tmp_path}/documents.parquet")
     labels = [(i, 1, 0) for i in range(120)] + [(i, 0, 1) for i in range(1000, 1060)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
