@@ -86,7 +86,7 @@ def ms2ds_index(
     embedded = embed_binned(mine, vocabulary, layers, n_bins).select(
         "spectrum_id", "vector", F.lit(PROJECT).alias("project"), F.lit(ion_mode).alias("ion_mode")
     )
-    embeddings = KeyedTable.open(spark, embeddings_path, embedded.schema, ("project", "ion_mode"), n_buckets)
+    embeddings = KeyedTable.open(spark, embeddings_path, embedded.schema, ("project", "ion_mode"), n_buckets, filters=False)
     embeddings.replace(embedded, project=PROJECT, ion_mode=ion_mode)
     return embeddings.read(project=PROJECT, ion_mode=ion_mode)
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,10 @@ class _Manifest:
     n_buckets: int
     # {bucket folder: [[version, folder], ...]}; the first one is the base.
     parts: dict[str, list[list]] = field(default_factory=dict)
+    filters: bool = True
+
+    def next(self, parts: dict[str, list[list]]) -> _Manifest:
+        return replace(self, number=self.number + 1, parts=parts)
 
 
 class KeyedTable:
@@ -99,29 +103,33 @@ class KeyedTable:
         partition_by: tuple[str, ...] = (),
         n_buckets: int = 64,
         key: str = "spectrum_id",
+        filters: bool = True,
     ) -> KeyedTable:
-        """An empty table. A bucket should hold some hundred MB: their number bounds what a batch of few ids touches."""
+        """An empty table; without ``filters`` of ids, ``only_new`` looks every id up. A bucket should hold some hundred MB: their number bounds what a batch of few ids touches."""
         table = cls(spark, path, key)
         _, fs = table._fs(path)
         fs.mkdirs(table._fs(f"{table.path}/manifests")[0])
-        table._commit(_Manifest(0, schema.json(), list(partition_by), n_buckets))
+        table._commit(_Manifest(0, schema.json(), list(partition_by), n_buckets, filters=filters))
         return table
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, schema: StructType, partition_by: tuple[str, ...] = (), n_buckets: int = 64, key: str = "spectrum_id") -> KeyedTable:
+    def open(cls, spark: SparkSession, path: str, schema: StructType, partition_by: tuple[str, ...] = (), n_buckets: int = 64, key: str = "spectrum_id", filters: bool = True) -> KeyedTable:
         """The table in ``path``, created if there is none."""
         table = cls(spark, path, key)
-        return table if table.versions() else cls.create(spark, path, schema, partition_by, n_buckets, key)
+        return table if table.versions() else cls.create(spark, path, schema, partition_by, n_buckets, key, filters)
 
     def _bucketed(self, df: DataFrame, n_buckets: int) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(n_buckets)).cast("int"))
 
+    def _dealt(self, df: DataFrame, manifest: _Manifest) -> DataFrame:
+        return self._bucketed(df, manifest.n_buckets).repartition(*manifest.partition_by, BUCKET)
+
     def _write(self, rows: DataFrame, old: _Manifest) -> dict[str, str]:
-        """{bucket folder: data folder} of ``rows``, written by bucket with a filter of the ids beside them."""
+        """{bucket folder: data folder} of ``rows`` (dealt by bucket), written with a filter of each bucket's ids beside them."""
         name, by = f"c{uuid.uuid4().hex}", [*old.partition_by, BUCKET]
-        rows.repartition(*by).write.partitionBy(*by).parquet(f"{self.path}/data/{name}")
+        rows.write.partitionBy(*by).parquet(f"{self.path}/data/{name}")
         folders = self._bucket_folders(f"{self.path}/data/{name}", len(by))
-        if folders:
+        if folders and old.filters:
             written = self._files(old, [f"{name}/{f}" for f in folders]).filter(~F.col(DELETED))
             # The path is that of a URI: what folder names escape is escaped once more.
             uri = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
@@ -160,11 +168,11 @@ class KeyedTable:
 
     def _add(self, rows: DataFrame, old: _Manifest, deleted: bool) -> int:
         number = old.number + 1
-        marked = self._bucketed(rows, old.n_buckets).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(deleted)})
+        marked = self._dealt(rows, old).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(deleted)})
         parts = {b: list(p) for b, p in old.parts.items()}
         for bucket, folder in self._write(marked, old).items():
             parts.setdefault(bucket, []).append([number, folder])
-        return self._commit(_Manifest(number, old.schema, old.partition_by, old.n_buckets, parts))
+        return self._commit(old.next(parts))
 
     def replace(self, rows: DataFrame, **partition) -> int:
         """Put ``rows`` in place of a whole partition, also if there are none: readers see the old or the new rows."""
@@ -172,11 +180,12 @@ class KeyedTable:
         if set(partition) != set(old.partition_by):
             raise ValueError(f"{self.path} is partitioned by {old.partition_by}; values were given for {sorted(partition)}")
         number, names = old.number + 1, self._schema(old).fieldNames()
-        rows = rows.select(*names).filter(_is_partition(partition)).dropDuplicates([self.key])
-        marked = self._bucketed(rows, old.n_buckets).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
+        # Dealt by bucket first: then repeats lie together, and one shuffle does.
+        rows = self._dealt(rows.select(*names).filter(_is_partition(partition)), old).dropDuplicates([*old.partition_by, BUCKET, self.key])
+        marked = rows.withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
         new = self._write(marked, old)
         parts = {b: list(p) for b, p in old.parts.items() if not self._inside(b, partition)}
-        return self._commit(_Manifest(number, old.schema, old.partition_by, old.n_buckets, parts | {b: [[number, f]] for b, f in new.items()}))
+        return self._commit(old.next(parts | {b: [[number, f]] for b, f in new.items()}))
 
     def compact(self, least_deltas: int = 4) -> int:
         """Rewrite the buckets that have so many deltas, each to one base of its current rows."""
@@ -185,11 +194,10 @@ class KeyedTable:
         if not chosen:
             return old.number
         number = old.number + 1
-        rows = self._merged(old, chosen)
-        marked = self._bucketed(rows, old.n_buckets).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
+        marked = self._dealt(self._merged(old, chosen), old).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
         new = self._write(marked, old)
         parts = {b: list(p) for b, p in old.parts.items() if b not in chosen} | {b: [[number, f]] for b, f in new.items()}
-        return self._commit(_Manifest(number, old.schema, old.partition_by, old.n_buckets, parts))
+        return self._commit(old.next(parts))
 
     def vacuum(self) -> None:
         """Delete earlier versions and the files that only they have; readers of these must be done."""
@@ -281,6 +289,8 @@ class KeyedTable:
         live = [(folder, b, _number(b)) for b, p in manifest.parts.items() for _, folder in p]
         if not live:
             return keys.limit(0)
+        if not manifest.filters:
+            return keys
         names = sorted({f for f, _, _ in live})
         read = self.spark.read.schema("folder string, bits binary").parquet(*[f"{self.path}/filters/{n}" for n in names])
         read = read.select(F.regexp_extract(F.col("_metadata.file_path"), "filters/([^/]*)/", 1).alias("commit"), "folder", "bits")

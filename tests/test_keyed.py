@@ -129,3 +129,13 @@ def test_a_batch_of_new_ids_does_not_read_the_table(spark, table):
     manifest = table.manifest()
     if table._maybe_stored(table._bucketed(fresh.select("ion_mode", "spectrum_id"), manifest.n_buckets), manifest).isEmpty():
         assert table.only_new(fresh) is fresh
+
+
+def test_without_filters_every_id_is_looked_up(spark, tmp_path):
+    plain = KeyedTable.create(spark, f"file://{tmp_path}/plain", rows(spark).schema, ("ion_mode",), 4, filters=False)
+    plain.upsert(rows(spark, *[(f"s{i}", 0.0, "positive", 0) for i in range(30)]), ["pos"])
+    plain.replace(rows(spark, *[(f"s{i}", 1.0, "positive", 0) for i in range(20)], ("s0", 1.0, "positive", 0)), ion_mode="positive")
+    assert plain.read().count() == 20
+    batch = rows(spark, *[(f"s{i}", 2.0, "positive", 0) for i in range(10, 25)])
+    assert [r[0] for r in content(plain.only_new(batch))] == [f"s{i}" for i in range(20, 25)]
+    assert plain._names(f"{plain.path}/filters") == []
