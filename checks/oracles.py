@@ -388,6 +388,12 @@ oracle(
       union all select rep, key, 1 from members where key <> rep""",
     **tanimoto(SUPPLIER_FEATURES, 0.15),
 )
+oracle(
+    "similar_structures",
+    """select key_a, key_b, score from (select a.key as key_a, b.key as key_b, round(s / cast(a.n + b.n - s as double), 5) as score
+      from shared join reps a on a.key = key_a join reps b on b.key = key_b) where score >= 0.5""",
+    **tanimoto("select cast(l_orderkey as varchar) as key, l_partkey as feature from lineitem", 0.5),
+)
 oracle(
     "fingerprint_bitmap",
     """select w.key, cast(word as int) as word, count(feature) as n_bits,

@@ -594,6 +594,14 @@ def tanimoto_matrix(spark, sf):
     return structures.with_copies(scores, structures.copy_members(fingerprints))
 
 
+@query
+def similar_structures(spark, sf):
+    """Orders whose parts are alike, found by an index over the rarest parts."""
+    lines = t.table(spark, sf, "lineitem")
+    features = lines.select(F.col("l_orderkey").cast("string").alias("key"), F.col("l_partkey").alias("feature"))
+    return structures.tanimoto_matrix(structures.fingerprint_bitmap(features), 0.5)
+
+
 @query
 def fingerprint_bitmap(spark, sf):
     bitmaps = structures.fingerprint_bitmap(t.supplier_features(spark, sf))
