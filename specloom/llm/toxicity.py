@@ -22,8 +22,11 @@ from specloom.llm import textkernel as K
 from specloom.llm.exchange import U64
 from specloom.session import materialise
 
-# Labelled rows that the classifier is fitted on, at most (those with the smallest hashes).
+# Labelled rows that the classifier is fitted on, at most: of each label those with the
+# smallest hashes, toxic ones up to half.
 FIT_ROWS = 24_000
+# Rows of each label that trees need; with fewer the lexicon scores.
+TREE_ROWS = 5
 # Entries of the lexicon, at most, and labelled texts that an entry must be in.
 LEXICON_ENTRIES = 4_000
 LEXICON_TEXTS = 3
@@ -139,7 +142,9 @@ def features(part: pa.RecordBatch, lexicon: Lexicon) -> np.ndarray:
     pronoun = lexicon.pronouns[np.minimum(np.searchsorted(lexicon.pronouns, whole), len(lexicon.pronouns) - 1)] == whole
     reach = np.cumsum(np.concatenate(([0], pronoun)))
     place = np.arange(len(whole))
-    low, high = np.maximum(place - NEAR, 0), np.minimum(place + NEAR + 1, len(whole))
+    n_cores = np.bincount(doc, minlength=n)
+    after = np.cumsum(n_cores)
+    low, high = np.maximum(place - NEAR, (after - n_cores)[doc]), np.minimum(place + NEAR + 1, after[doc])
     near = hit & (reach[high] > reach[low])
     # Words with signs or digits among letters, read as the letters that they stand for.
     signs = np.cumsum(np.concatenate(([0], _in_disguise[data])))
@@ -205,30 +210,59 @@ def learn_lexicon(labelled: DataFrame, entries: int = LEXICON_ENTRIES) -> Lexico
     return Lexicon(np.array([r[0] for r in best], np.int64).view(U64), np.array([r[1] for r in best], float))
 
 
+def fit_sample(labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, label, weight) of at most ``fit_rows`` rows, and how many rows each label has.
+
+    Toxic rows are taken first, up to half, so rare ones aren't missed; a row's weight is how many of
+    its label it stands for. Chosen by id alone; so few that every executor can know them.
+    """
+    known = labels.filter("label in (0, 1) and doc_id is not null")
+    total = {0: 0, 1: 0} | dict(known.groupBy(F.col("label").cast("int")).count().collect())
+    room = {1: fit_rows // 2}
+    room[0] = fit_rows - min(total[1], room[1])
+    order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
+    parts = [
+        known.filter(F.col("label") == label)
+        .orderBy(order, "doc_id")
+        .limit(room[label])
+        .withColumn("weight", F.lit(max(total[label] / max(room[label], 1), 1.0)))
+        for label in (0, 1)
+    ]
+    return parts[0].unionByName(parts[1]), total
+
+
 class Toxicity:
-    """The fitted lexicon, trees and calibration; without both labels a constant score."""
+    """The fitted lexicon, trees and calibration.
+
+    Where too few labels of a kind are left for trees, the lexicon alone
+    scores: odds of the labels times those of the strong words. Without labels of both kinds the score is constant.
+    """
 
     def __init__(self, documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
-        """Fit on the texts of (doc_id, text) that have one of the first ``fit_rows`` of (doc_id, label)."""
+        """Fit on the texts of (doc_id, text) that ``fit_sample`` takes of (doc_id, label)."""
         spark = documents.sparkSession
-        # Chosen by id alone; so few that every executor can know them, and no text is shuffled to find them.
-        order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
-        chosen = labels.filter("label is not null and doc_id is not null").orderBy(order, "doc_id").limit(fit_rows)
-        rows = documents.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-        rows = materialise(rows.withColumn("fold", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(10))), "toxicity-fit")
+        chosen, total = fit_sample(labels, fit_rows)
+        # One text of a repeated id, and always the same one.
+        rows = documents.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "label", "weight")).alias("row"))
+        fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(10))
+        rows = materialise(rows.select("doc_id", "row.*", fold.alias("fold")), "toxicity-fit")
         self.trees = self.calibration = None
-        lexicon = learn_lexicon(rows.filter("fold < 4").select("text", F.col("label").cast("long").alias("label")))
+        self.base = total[1] / max(sum(total.values()), 1)
+        counts = {0: 0, 1: 0} | dict(rows.filter("fold >= 4").groupBy(F.col("label").cast("int")).count().collect())
+        enough = min(counts.values()) >= TREE_ROWS
+        # Trees must not see the texts that the lexicon was learned from; without trees it learns from all.
+        learned = rows.filter("fold < 4") if enough else rows
+        lexicon = learn_lexicon(learned.select("text", F.col("label").cast("long").alias("label")))
         self.lexicon = spark.sparkContext.broadcast(lexicon)
-        counts = dict(rows.filter("fold >= 4").groupBy("label").count().collect())
-        self.base = counts.get(1, 0) / max(sum(counts.values()), 1)
-        if min(counts.get(0, 0), counts.get(1, 0)) < 5:
+        if not enough:
             return
-        table = materialise(self._vectors(rows.filter("fold >= 4"), ["label", "fold"]).coalesce(4), "toxicity-features")
+        table = materialise(self._vectors(rows.filter("fold >= 4"), ["label", "weight", "fold"]).coalesce(4), "toxicity-features")
         table = table.withColumn("label", F.col("label").cast("double")).withColumn("features", array_to_vector("features"))
-        self.trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, seed=7, cacheNodeIds=False).fit(table.filter("fold < 8"))
-        margins = self._margins(table.filter("fold >= 8")).select("label", "margin")
+        trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight")
+        self.trees = trees.fit(table.filter("fold < 8"))
+        margins = self._margins(table.filter("fold >= 8")).select("label", "weight", "margin")
         if margins.select("label").distinct().count() == 2:
-            self.calibration = IsotonicRegression(featuresCol="margin").fit(margins)
+            self.calibration = IsotonicRegression(featuresCol="margin", weightCol="weight").fit(margins)
 
     def _vectors(self, docs: DataFrame, keep: list[str]) -> DataFrame:
         schema = StructType([*(docs.schema[c] for c in keep), StructField("features", ArrayType(DoubleType()))])
@@ -242,7 +276,10 @@ class Toxicity:
         """(key, score, features) of every row of (key, text); score is between 0 and 1."""
         table = self._vectors(docs, [key])
         if self.trees is None:
-            return table.select(key, F.lit(float(self.base)).alias("score"), "features")
+            if not 0 < self.base < 1:
+                return table.select(key, F.lit(float(self.base)).alias("score"), "features")
+            odds = F.lit(float(np.log(self.base / (1 - self.base)))) + F.get("features", F.lit(FEATURES.index("strong_sum")))
+            return table.select(key, (1 / (1 + F.exp(-odds))).alias("score"), "features")
         table = self._margins(table.withColumn("given", F.col("features")).withColumn("features", array_to_vector("given")))
         # Calibration maps stretches of margins to one value; the margin tells them apart a little.
         share = 1 / (1 + F.exp(-2 * F.col("margin")))
@@ -274,7 +311,9 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """(doc_id, held_out, score, predicted, features) for each row of ``documents`` (doc_id, text, ...).
 
     Learns from ``labels`` (doc_id, toxic) of rows that aren't held out: a
-    sample of at most ``FIT_ROWS`` of them, the same on every run. Null and
+    sample of at most ``FIT_ROWS`` of them, the same on every run, toxic ones
+    first. With fewer than ``TREE_ROWS`` rows of a label beside those that the
+    lexicon learns from, the lexicon's strong words alone decide. Null and
     empty texts are scored like any other, by features that are zero. Rows
     without a doc_id are scored and not held out. A doc_id with several labels
     counts as toxic if one says so; other labels than 0 and 1 are left out.

@@ -4,14 +4,16 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from specloom.llm import decontaminate, language_id
+from specloom.llm import toxicity as toxicity_module
 from specloom.llm.decontaminate import align, benchmark_copies, without_copies
 from specloom.llm.language_id import Texts, Vocabulary, Words, identify_languages
 from specloom.llm.merge_dropout import MODEL
-from specloom.llm.toxicity import toxicity, without_toxic
+from specloom.llm.toxicity import fit_sample, toxicity, without_toxic
 from tests.llm.texts import ODD, edited, words
 
 
@@ -55,6 +57,72 @@ def test_toxicity_without_labels_or_rows(spark, documents):
     assert toxicity(documents([]), none).collect() == []
 
 
+def test_rare_toxic_labels_are_all_in_the_sample(spark):
+    rows = [(i, int(i % 1000 == 3)) for i in range(20_000)] + [(None, 1), (20_001, None), (20_002, 2)]
+    sample, total = fit_sample(spark.createDataFrame(rows, "doc_id long, label int"), 400)
+    got = sample.collect()
+    assert total[1] == 20 and total[0] == 19_980 and len(got) == 400
+    assert {r.doc_id for r in got if r.label == 1} == {i for i, label in rows if label == 1 and i is not None}
+    assert {r.weight for r in got if r.label == 1} == {1.0}
+    assert [r.weight for r in got if r.label == 0] == [pytest.approx(19_980 / 380)] * 380
+    half, _ = fit_sample(spark.createDataFrame([(i, 1) for i in range(1000)], "doc_id long, label int"), 400)
+    assert half.count() == 200 and {r.weight for r in half.collect()} == {5.0}
+
+
+def test_few_toxic_labels_leave_the_lexicon(spark, documents):
+    """Too few toxic labels for trees: strong words decide, and a text with none has the base rate."""
+    rows, _ = labelled(600)
+    rows = [(i, t) if i < 60 or i % 10 else (i, " ".join(words(i, 40))) for i, t in rows] + [(700, rows[0][1]), (700, "other words here")]
+    table = spark.createDataFrame([(i, int(i < 60 and i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity(documents([*rows, *ODD]), table).collect()
+    of = {r.doc_id: r for r in got if r.doc_id is not None and r.doc_id < 600}
+    assert all(of[i].predicted == int(i < 60 and i % 10 == 0) for i in of)
+    assert len({r.score for r in got}) > 1
+    again = {(r.doc_id, r.score) for r in toxicity(documents([*rows, *ODD]).repartition(7), table).collect()}
+    assert again == {(r.doc_id, r.score) for r in got}
+
+
+def slow_features(text, lexicon):
+    """Some of the features, word by word."""
+    import re
+
+    raw = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    core = [c for c in (re.sub(r"^[^A-Za-z0-9$@\x80-\U0010ffff]+|[^A-Za-z0-9$@\x80-\U0010ffff]+$", "", w) for w in raw) if c]
+    low = [c.lower() if c.isascii() else "".join(x.lower() if x.isascii() else x for x in c) for c in core]
+    n_words, n_bytes = max(len(raw), 1), max(len(text.encode()), 1)
+    pronoun = [w in toxicity_module.PRONOUNS.split() for w in low]
+    hit = [w in lexicon for w in low]
+    near = [h and any(pronoun[max(i - toxicity_module.NEAR, 0) : i + toxicity_module.NEAR + 1]) for i, h in enumerate(hit)]
+    signs = "!?.,;:-_*#%&$@\"'()[]{}<>/\\|~^+="
+    return {
+        "lexicon_words": sum(hit),
+        "lexicon_share": sum(hit) / n_words,
+        "lexicon_best": max([lexicon.get(w, 0.0) for w in low], default=0.0),
+        "near_pronouns": sum(near),
+        "pronoun_share": sum(pronoun) / n_words,
+        "capital_share": sum("A" <= x <= "Z" for x in text) / n_bytes,
+        "shouted_share": sum(len(c) >= 2 and all("A" <= x <= "Z" for x in c) for c in core) / n_words,
+        "mark_share": sum(x in signs for x in text) / n_bytes,
+        "exclamation_share": sum(x in "!?" for x in text) / n_bytes,
+        "log_words": math.log1p(len(raw)),
+        "repeated_share": sum(a == b for a, b in zip(low, low[1:])) / n_words,
+    }
+
+
+def test_features_equal_slow_ones():
+    draw = random.Random(4)
+    lexicon = {"blorg": 3.0, "zap": 6.0}
+    spans = toxicity_module._spans_of(list(lexicon))
+    fast = toxicity_module.Lexicon(toxicity_module.K.span_hashes(*spans), np.array(list(lexicon.values())))
+    parts = ["you", "Your", "zap", "ZAP", "blorg!", "(blorg)", "hello", "A", "OK", "--", "x", "été", "...", "du", "no?", "n0"]
+    texts = [draw.choice(["", " ", "\n"]) + draw.choice([" ", "\t\n"]).join(draw.choices(parts, k=draw.randrange(40))) for _ in range(200)]
+    texts += ["", "   ", "zap " * 5000, "!" * 3000]
+    got = toxicity_module.features(pa.RecordBatch.from_pydict({"text": pa.array(texts)}), fast)
+    for text, row in zip(texts, got):
+        for name, value in slow_features(text, lexicon).items():
+            assert row[toxicity_module.FEATURES.index(name)] == pytest.approx(value), (name, text[:80])
+
+
 def slow_alignment(item, text):
     best = 0
     table = np.zeros((len(item) + 1, len(text) + 1), int)
