@@ -168,6 +168,17 @@ def test_on_empty(spark):
         assert {(r["query_id"], r["ref_id"]) for r in kept} == {("a", "r"), ("far", None)}
 
 
+def test_kept_queries_are_found_without_the_pairs(spark):
+    queries, refs = random_rows(50, "q", 8), random_rows(40, "r", 9)
+    queries += [("null", None, queries[0][2], "positive", 0), ("q0", 9000.0, queries[0][2], "positive", 0)]
+    keep = candidates.precursor_candidates(side(spark, queries, "query"), side(spark, refs, "ref"), 0.3, "keep")
+    text = keep._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join Inner") == 1
+    found = [(q[0], r[0]) for q in queries for r in refs if q[1] and in_window(q, r, 0.3)]
+    empty = [(q[0], "") for q in queries if q[0] not in {x for x, _ in found}]
+    assert sorted((r["query_id"], r["ref_id"] or "") for r in keep.collect()) == sorted(found + empty)
+
+
 def test_range_is_ordered_and_unbounded_by_none(spark):
     df = spectra(spark, {"precursor_mz": 3.0}, {"precursor_mz": 1.0}, {"precursor_mz": 2.0}, {"precursor_mz": 2.0})
     ids = [r["spectrum_id"] for r in candidates.precursor_range(df, 2.0, 3.0).collect()]
