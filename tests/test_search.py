@@ -179,6 +179,18 @@ def test_kept_queries_are_found_without_the_pairs(spark):
     assert sorted((r["query_id"], r["ref_id"] or "") for r in keep.collect()) == sorted(found + empty)
 
 
+@pytest.mark.parametrize("mz_range", [0.0, 0.3, 40.0])
+def test_union_of_candidates_equals_brute_force_and_makes_no_pairs(spark, mz_range):
+    queries, refs = random_rows(60, "q", 18), random_rows(25, "r", 19)
+    refs += [(f"b{k}", k * mz_range, queries[0][2], "positive", 0) for k in range(300, 310)]
+    queries += [(f"c{k}", k * mz_range, queries[0][2], "positive", k % 3) for k in range(297, 315)] + [("null", None, queries[0][2], "positive", 0)]
+    left = side(spark, queries, "query")
+    found = candidates.union_candidates(left, side(spark, refs, "ref"), mz_range)
+    want = {(q[4], r[0]) for q in queries for r in refs if q[1] is not None and q[3] == r[3] and q[1] - mz_range <= r[1] <= q[1] + mz_range}
+    assert pairs(found, "request_id", "ref_id") == sorted(want)
+    assert "query_id" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_range_is_ordered_and_unbounded_by_none(spark):
     df = spectra(spark, {"precursor_mz": 3.0}, {"precursor_mz": 1.0}, {"precursor_mz": 2.0}, {"precursor_mz": 2.0})
     ids = [r["spectrum_id"] for r in candidates.precursor_range(df, 2.0, 3.0).collect()]
