@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from specloom.operators.candidates import (
-    apply_on_empty,
-    query_buckets,
-    ref_bucket,
-    require_candidates,
-)
+from specloom.operators.candidates import apply_on_empty, require_candidates
 from specloom.operators.documents import create_documents, embed_documents
 from specloom.operators.models import train_word_vectors
 from specloom.operators.ranking import DEFAULT_N_BEST, attach_metadata
-from specloom.operators.similarity import BLOCK_ROWS, blockwise_best
+from specloom.operators.similarity import window_best
 from specloom.plans.library import prepare_library
 from specloom.session import materialise
 from specloom.sources.keyed import KeyedTable
@@ -84,25 +79,18 @@ def spec2vec_search(
     by: tuple[str, ...] = ("ion_mode",),
     metadata: DataFrame | None = None,
     include_metadata: list[str] | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Best references within the precursor window of each query.
 
     ``queries`` holds query_id, query_mz, query_vector and the ``by`` columns,
     ``refs`` the same with ``ref_``. Both sides carry their vectors through one
-    shuffle on (by, m/z bucket); scoring and the first cut to n happen where
-    they meet. A query without candidates raises, by default.
+    shuffle on (by, m/z bucket); scoring and ranking happen where they meet
+    (``window_best``). A query without candidates raises, by default.
     """
     if on_empty == "raise":
         require_candidates(queries, refs, mz_range, by)
-    matches = blockwise_best(
-        query_buckets(queries, "query_mz", mz_range),
-        ref_bucket(refs, "ref_mz", mz_range),
-        [*by, "bucket"],
-        n_best_spectra or DEFAULT_N_BEST,
-        mz_range=mz_range,
-        block_rows=block_rows,
-    )
+    matches = window_best(queries, refs, list(by), n_best_spectra or DEFAULT_N_BEST, mz_range, block_rows=block_rows)
     if on_empty == "keep":
         matches = apply_on_empty(queries.select("query_id"), matches, "keep")
     if metadata is not None:

@@ -279,3 +279,30 @@ def test_candidate_embeddings_of_one_project_and_mode(spark):
         "spectrum_id string, vector array<double>, project string, ion_mode string",
     )
     assert pairs(candidates.candidate_embeddings(found, table, "p", "positive"), "ref_id", "ref_vector") == [("a", [1.0])]
+
+
+@pytest.mark.parametrize("block_rows", [7, None])
+@pytest.mark.parametrize("tile", [8, 1024])
+def test_window_search_with_copies_ties_and_many_tiles(spark, monkeypatch, block_rows, tile):
+    monkeypatch.setattr(similarity, "_TILE", tile)
+    queries = [(f"{i}{r[0]}", *r[1:]) for r in random_rows(60, "q", 21) for i in range(3)]
+    refs = [(f"{i}{r[0]}", *r[1:]) for r in random_rows(80, "r", 22) for i in range(4)]
+    # Windows that end on a bucket's edge, by the sums that doubles give.
+    refs += [("edge", 251.0 + 0.3, [1.0, 0.0, 0.0, 0.0], "positive", 0)]
+    queries += [("edge", 250.3, [1.0, 0.0, 0.0, 0.0], "positive", 0)]
+    if block_rows is None:
+        scorer = similarity._window_scorer(5, 6, 1.0)
+        for mode in ("positive", "negative"):
+            q, r = ([x for x in rows if x[3] == mode] for rows in (queries, refs))
+            table = lambda rows, p: pa.table({f"{p}_id": [x[0] for x in rows], f"{p}_mz": [x[1] for x in rows], f"{p}_vector": [x[2] for x in rows]})
+            got = sorted(tuple(m.values()) for m in scorer(table(q, "query"), table(r, "ref")).to_pylist())
+            assert got == brute_force(q, lambda x: [y for y in r if in_window(x, y, 1.0)], 5)
+        return
+    found = spec2vec_search(side(spark, queries, "query"), side(spark, refs, "ref"), 1.0, 5, "drop", block_rows=block_rows)
+    assert pairs(found, "query_id", "ref_id", "score", "rank") == brute_force(queries, lambda q: [r for r in refs if in_window(q, r, 1.0)], 5)
+
+
+def test_a_window_search_shuffles_no_match(spark):
+    queries, refs = side(spark, random_rows(30, "q", 23), "query"), side(spark, random_rows(30, "r", 24), "ref")
+    plan = spec2vec_search(queries, refs, 1.0, 5, "drop")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
