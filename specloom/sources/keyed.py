@@ -24,8 +24,12 @@ from pyspark.sql.types import BooleanType, IntegerType, LongType, StructType
 from specloom.session import materialise
 
 BUCKET, VERSION, DELETED = "_bucket", "_version", "_deleted"
+# Part of a bucket that one task writes; not stored.
+SLICE = "_slice"
 # Bits of a Bloom filter for each id, and how many of them an id sets.
 ID_BITS, ID_HASHES = 12, 6
+# Ids hashed at a time.
+_IDS_AT_ONCE = 65_536
 
 
 @dataclass
@@ -122,7 +126,15 @@ class KeyedTable:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.key), F.lit(n_buckets)).cast("int"))
 
     def _dealt(self, df: DataFrame, manifest: _Manifest) -> DataFrame:
-        return self._bucketed(df, manifest.n_buckets).repartition(*manifest.partition_by, BUCKET)
+        """The rows by bucket, and each bucket in slices by another hash of the id.
+
+        A task then sorts a slice and not a whole bucket, and few buckets do not mean few tasks.
+        There are some slices for each shuffle partition, so that these get about the
+        same; adaptive execution joins small ones.
+        """
+        slices = -(-4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // manifest.n_buckets)
+        cut = self._bucketed(df, manifest.n_buckets).withColumn(SLICE, F.pmod(F.hash(self.key), F.lit(slices)))
+        return cut.repartition(*manifest.partition_by, BUCKET, SLICE)
 
     def _write(self, rows: DataFrame, old: _Manifest) -> dict[str, str]:
         """{bucket folder: data folder} of ``rows`` (dealt by bucket), written with a filter of each bucket's ids beside them."""
@@ -151,8 +163,9 @@ class KeyedTable:
         schema = self._schema(old)
         by = [*old.partition_by, self.key]
         last = F.max_by(F.struct(*[c for c in schema.fieldNames() if c not in by]), F.struct(*order_by))
-        rows = batch.groupBy(*by).agg(last.alias("_row")).select(*by, "_row.*").select(*schema.fieldNames())
-        return self._add(rows, old, deleted=False)
+        # Dealt by bucket first: then repeats lie together, and one shuffle does.
+        rows = self._dealt(batch, old).groupBy(*by, BUCKET, SLICE).agg(last.alias("_row"))
+        return self._add_dealt(rows.select(*by, BUCKET, "_row.*").select(*schema.fieldNames(), BUCKET), old, deleted=False)
 
     def append_new(self, batch: DataFrame, order_by: list[str | Column]) -> int:
         """Insert the ids that aren't stored; stored rows stay as they are."""
@@ -167,8 +180,12 @@ class KeyedTable:
         return self._add(rows.select(*names), old, deleted=True)
 
     def _add(self, rows: DataFrame, old: _Manifest, deleted: bool) -> int:
+        return self._add_dealt(self._dealt(rows, old).drop(SLICE), old, deleted)
+
+    def _add_dealt(self, rows: DataFrame, old: _Manifest, deleted: bool) -> int:
+        """Commit rows, dealt by bucket, as a delta."""
         number = old.number + 1
-        marked = self._dealt(rows, old).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(deleted)})
+        marked = rows.withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(deleted)})
         parts = {b: list(p) for b, p in old.parts.items()}
         for bucket, folder in self._write(marked, old).items():
             parts.setdefault(bucket, []).append([number, folder])
@@ -180,9 +197,8 @@ class KeyedTable:
         if set(partition) != set(old.partition_by):
             raise ValueError(f"{self.path} is partitioned by {old.partition_by}; values were given for {sorted(partition)}")
         number, names = old.number + 1, self._schema(old).fieldNames()
-        # Dealt by bucket first: then repeats lie together, and one shuffle does.
-        rows = self._dealt(rows.select(*names).filter(_is_partition(partition)), old).dropDuplicates([*old.partition_by, BUCKET, self.key])
-        marked = rows.withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
+        rows = self._dealt(rows.select(*names).filter(_is_partition(partition)), old).dropDuplicates([*old.partition_by, BUCKET, SLICE, self.key])
+        marked = rows.drop(SLICE).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
         new = self._write(marked, old)
         parts = {b: list(p) for b, p in old.parts.items() if not self._inside(b, partition)}
         return self._commit(old.next(parts | {b: [[number, f]] for b, f in new.items()}))
@@ -194,7 +210,7 @@ class KeyedTable:
         if not chosen:
             return old.number
         number = old.number + 1
-        marked = self._dealt(self._merged(old, chosen), old).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
+        marked = self._dealt(self._merged(old, chosen), old).drop(SLICE).withColumns({VERSION: F.lit(number).cast("long"), DELETED: F.lit(False)})
         new = self._write(marked, old)
         parts = {b: list(p) for b, p in old.parts.items() if b not in chosen} | {b: [[number, f]] for b, f in new.items()}
         return self._commit(old.next(parts))
@@ -329,7 +345,8 @@ def _filter_of(key: str):
     def work(name, ids):
         bits = 1 << max(int(ID_BITS * ids.num_rows - 1).bit_length(), 10)
         out = np.zeros(bits, bool)
-        out[_places(ids.column(key), bits).ravel()] = True
+        for start in range(0, ids.num_rows, _IDS_AT_ONCE):
+            out[_places(ids.column(key).slice(start, _IDS_AT_ONCE), bits).ravel()] = True
         return pa.table({"folder": pa.array([name[0].as_py()], pa.string()), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
 
     return work
@@ -338,11 +355,11 @@ def _filter_of(key: str):
 def _known(key: str):
     def work(keys: pa.Table, filters: pa.Table) -> pa.Table:
         known = np.zeros(keys.num_rows, bool)
-        if keys.num_rows:
-            for packed in filters.column("bits").to_pylist():
-                table = np.frombuffer(packed, np.uint8)
-                at = _places(keys.column(key), 8 * len(table))
-                known |= ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+        for packed in filters.column("bits") if keys.num_rows else ():
+            table = np.frombuffer(packed.as_buffer(), np.uint8)
+            for start in range(0, keys.num_rows, _IDS_AT_ONCE):
+                at = _places(keys.column(key).slice(start, _IDS_AT_ONCE), 8 * len(table))
+                known[start : start + len(at)] |= ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
         return keys.filter(pa.array(known, pa.bool_()))
 
     return work

@@ -139,3 +139,21 @@ def test_without_filters_every_id_is_looked_up(spark, tmp_path):
     batch = rows(spark, *[(f"s{i}", 2.0, "positive", 0) for i in range(10, 25)])
     assert [r[0] for r in content(plain.only_new(batch))] == [f"s{i}" for i in range(20, 25)]
     assert plain._names(f"{plain.path}/filters") == []
+
+
+def test_a_bucket_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "_IDS_AT_ONCE", 7)
+    table = KeyedTable.create(spark, f"file://{tmp_path}/one", rows(spark).schema, ("ion_mode",), n_buckets=1)
+    given = [(f"s{i % 300:03d}", float(i), "positive", i) for i in range(600)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.upsert(rows(spark, *given), ["pos"])
+        upserted = len(list((tmp_path / "one" / "data").glob("*/*/*/*.parquet")))
+        table.replace(rows(spark, *given[300:], *given[300:]), ion_mode="positive")
+        both = len(list((tmp_path / "one" / "data").glob("*/*/*/*.parquet")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert upserted > 1 and both - upserted > 1
+    assert content(table.read()) == sorted(given[300:], key=str)
+    batch = rows(spark, *given[:300], ("new", 1.0, "positive", 0))
+    assert content(table.only_new(batch)) == [("new", 1.0, "positive", 0)]
