@@ -2,6 +2,7 @@ import math
 
 import pytest
 
+from checks import tables
 from specloom.operators import documents, models
 from tests.helpers import column, pairs, spectra
 
@@ -87,3 +88,16 @@ def test_embedding_shuffles_no_peak_at_300_dimensions(spark):
     rows = {r["spectrum_id"]: r for r in embedded.collect()}
     assert rows["s0"]["vector"] == [0.5 * 1 + 1.0 * 2] * 300
     assert (rows["s29"]["status"], rows["s29"]["missing_percentage"]) == ("too_many_missing", 100.0)
+
+
+def test_words_and_bins_do_not_store_metadata(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_stored", {})
+    sf = "/root/testdata/sf0.001"
+    alone = tables.documents(spark, sf), tables.binned(spark, sf, 100)
+    assert not [k for k in tables._stored if k[2] == "spectra"]
+    monkeypatch.setattr(tables, "_stored", {})
+    tables.spectra(spark, sf)
+    beside = tables.documents(spark, sf), tables.binned(spark, sf, 100)
+    assert not [k for k in tables._stored if k[2] == "peak-spectra"]
+    for a, b in zip(alone, beside):
+        assert sorted(a.columns) == sorted(b.columns) and a.count() == b.count() and a.exceptAll(b.select(*a.columns)).isEmpty()
