@@ -101,3 +101,15 @@ def test_words_and_bins_do_not_store_metadata(spark, monkeypatch):
     assert not [k for k in tables._stored if k[2] == "peak-spectra"]
     for a, b in zip(alone, beside):
         assert sorted(a.columns) == sorted(b.columns) and a.count() == b.count() and a.exceptAll(b.select(*a.columns)).isEmpty()
+
+
+def test_a_single_pass_stores_no_library(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_stored", {})
+    sf = "/root/testdata/sf0.001"
+    alone = tables.binned(spark, sf, 100)
+    assert [k[2] for k in tables._stored] == ["binned-100"]
+    assert "Broadcast" not in tables.derive_raw(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tables, "_stored", {})
+    tables.raw(spark, sf), tables.peak_spectra(spark, sf)
+    beside = tables.binned(spark, sf, 100)
+    assert alone.count() == beside.count() and alone.exceptAll(beside).isEmpty()
