@@ -17,3 +17,8 @@ def stored_by(spark, monkeypatch, name):
 def test_nothing_is_stored(spark, monkeypatch, name):
     found, stored = stored_by(spark, monkeypatch, name)
     assert stored == [] and found.count() > 0
+
+
+def test_training_tables_store_no_metadata(spark, monkeypatch):
+    _, stored = stored_by(spark, monkeypatch, "ms2ds_prepare")
+    assert "spectra" not in stored and "raw" not in stored
