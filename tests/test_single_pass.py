@@ -13,7 +13,7 @@ def stored_by(spark, monkeypatch, name):
     return found, [k[2] for k in tables._stored]
 
 
-@pytest.mark.parametrize("name", ["parse_spectrum"])
+@pytest.mark.parametrize("name", ["parse_spectrum", "read_library_mgf", "prepare_library"])
 def test_nothing_is_stored(spark, monkeypatch, name):
     found, stored = stored_by(spark, monkeypatch, name)
     assert stored == [] and found.count() > 0
