@@ -8,6 +8,9 @@ from specloom.operators.keys import lookup_join
 
 DEFAULT_N_BEST = 10
 
+# Ids of at most this many matches, some tens of MB, are sent to the library.
+FEW_MATCHES = 1_000_000
+
 
 def drop_nan_scores(scored: DataFrame) -> DataFrame:
     """Undefined scores out: Spark sorts NaN above every number."""
@@ -38,8 +41,13 @@ def attach_metadata(
 ) -> DataFrame:
     """Add the matched reference's metadata, all of it or the named keys.
 
-    A reference matched by very many queries is a hot key of the lookup.
+    A reference matched by very many queries is a hot key of the lookup. Where the matches are few,
+    the spectra that none of them names are dropped before the library is shuffled. Hand in
+    stored matches.
     """
+    if matches.limit(FEW_MATCHES + 1).count() <= FEW_MATCHES:
+        matched = matches.select(F.col("ref_id").alias("spectrum_id")).distinct()
+        spectra = spectra.join(F.broadcast(matched), "spectrum_id", "left_semi")
     wanted = F.col("metadata")
     if include_metadata is not None:
         wanted = F.map_filter("metadata", lambda k, _: k.isin(include_metadata))

@@ -22,3 +22,8 @@ def test_nothing_is_stored(spark, monkeypatch, name):
 def test_training_tables_store_no_metadata(spark, monkeypatch):
     _, stored = stored_by(spark, monkeypatch, "ms2ds_prepare")
     assert "spectra" not in stored and "raw" not in stored
+
+
+def test_metadata_is_attached_from_a_library_that_is_not_stored(spark, monkeypatch):
+    found, stored = stored_by(spark, monkeypatch, "attach_metadata")
+    assert stored == ["embeddings"] and found.count() > 0
