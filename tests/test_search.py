@@ -5,6 +5,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables
+from checks.queries import REGISTRY
 from specloom.functions import vectors as V
 from specloom.operators import candidates, ranking, similarity
 from specloom.operators.keys import triangle
@@ -281,6 +283,34 @@ def test_candidate_embeddings_of_one_project_and_mode(spark):
     assert pairs(candidates.candidate_embeddings(found, table, "p", "positive"), "ref_id", "ref_vector") == [("a", [1.0])]
 
 
+def test_vectors_fetched_before_or_after_the_pairs(spark):
+    queries, refs = random_rows(60, "q", 31), random_rows(80, "r", 32)
+    refs += refs[:5]  # ids that repeat
+    table = [(r[0], r[2] if i % 7 else None, "p" if i % 5 else "other", r[3]) for i, r in enumerate(refs[:70])]
+    table += [(None, [9.0], "p", "positive"), ("nobody", [9.0], "p", "positive"), table[1]]
+    table = spark.createDataFrame(table, "spectrum_id string, vector array<double>, project string, ion_mode string")
+    left, right = side(spark, queries, "query"), side(spark, refs, "ref")
+    for mz_range in (0.0, 0.7):
+        made = candidates.precursor_candidates(left, right, mz_range, "drop")
+        after = candidates.candidate_embeddings(made, table, "p", "positive")
+        before = candidates.window_embeddings(left, right, table, "p", "positive", mz_range)
+        rows = [sorted(map(str, df.select("query_id", "ref_id", "ref_vector").collect())) for df in (after, before)]
+        assert rows[0] == rows[1] and (rows[0] or not mz_range)
+
+
+def test_pairs_are_not_shuffled_for_their_vectors(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_stored", {})
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        found = REGISTRY["candidate_embeddings"](spark, "/root/testdata/sf0.001")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)
+    above, window, below = plan.partition(">= (query_mz")
+    assert window and "Exchange" not in above and "Exchange" in below
+
+
 @pytest.mark.parametrize("block_rows", [7, None])
 @pytest.mark.parametrize("tile", [8, 1024])
 def test_window_search_with_copies_ties_and_many_tiles(spark, monkeypatch, block_rows, tile):
