@@ -348,3 +348,25 @@ def test_a_block_of_the_triangle_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.num_rows == 2 * 3 * 4096 and peak < 80e6
+
+
+@pytest.mark.parametrize("mz_range", [0.0, 0.1, 1.0])
+def test_few_queries_go_to_the_references(spark, mz_range):
+    """References are not shuffled, and pairs are those of the windows, at the edges of buckets too."""
+    rng = np.random.default_rng(11)
+    odd = [None, math.nan, math.inf, -math.inf, 0.3, -0.1, 0.1 + 0.2, 3.0, 2.9999999999999996]
+    mzs = odd + [round(float(x), 1) for x in rng.uniform(0, 8, 60)]
+    rows = [(f"r{i:03d}", mz, [1.0], "positive" if i % 3 else "negative", 0) for i, mz in enumerate(mzs)]
+    queries, refs = side(spark, rows, "query"), side(spark, rows, "ref")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = candidates.precursor_candidates(queries, refs, mz_range, "drop")
+        assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+        got = pairs(made, "query_id", "ref_id")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    many = pairs(candidates.candidate_pairs(queries, refs, mz_range), "query_id", "ref_id")
+    number = [r for r in rows if r[1] is not None and not math.isnan(r[1])]
+    want = sorted((q[0], r[0]) for q in number for r in number if in_window(q, r, mz_range))
+    nan = rows[1][0]
+    assert got == many == sorted([*want, (nan, nan)])
