@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from specloom.session import materialise
@@ -39,7 +40,7 @@ class _Run:
     """Rows of one range that lie together in a batch."""
 
     key: tuple[str, int]
-    values: list[bytes]
+    values: pa.LargeBinaryArray
     odd: np.ndarray  # whether a row has an odd number of quotes
     opened: np.ndarray  # (rows, 2): braces opened outside strings, if the row begins outside or inside one
 
@@ -54,11 +55,13 @@ class _Run:
 def _runs(batches) -> Iterator[_Run]:
     for batch in batches:
         if batch.num_rows:
-            odd, opened = _scanned(batch.column("value"))
-            files, starts, values = batch.column("file").to_pylist(), batch.column("start").to_numpy(), batch.column("value").cast(pa.large_binary()).to_pylist()
-            new = [0, *(i for i in range(1, len(files)) if starts[i] != starts[i - 1] or files[i] != files[i - 1]), len(files)]
+            values = batch.column("value").cast(pa.large_binary())
+            odd, opened = _scanned(values)
+            files, starts = batch.column("file"), batch.column("start").to_numpy()
+            other = pc.not_equal(files.slice(1), files.slice(0, len(files) - 1)).to_numpy(zero_copy_only=False)
+            new = [0, *(np.flatnonzero(other | (starts[1:] != starts[:-1])) + 1).tolist(), len(files)]
             for a, b in zip(new[:-1], new[1:]):
-                yield _Run((files[a], int(starts[a])), values[a:b], odd[a:b], opened[a:b])
+                yield _Run((files[a].as_py(), int(starts[a])), values.slice(a, b - a), odd[a:b], opened[a:b])
 
 
 def _scanned(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,12 +72,17 @@ def _scanned(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
     quotes = np.flatnonzero(data == QUOTE)
-    if (data == BACKSLASH).any():
-        # A quote counts unless an odd run of backslashes stands before it, in its row.
-        row_start = offsets[np.searchsorted(offsets, quotes, "right") - 1]
-        other = np.maximum.accumulate(np.where(data != BACKSLASH, np.arange(len(data)), -1))
-        last = np.where(quotes > 0, other[np.maximum(quotes - 1, 0)], -1)
-        quotes = quotes[(quotes - 1 - np.maximum(last, row_start - 1)) % 2 == 0]
+    # A quote counts unless an odd run of backslashes stands before it, in its row.
+    behind = np.flatnonzero((data[np.maximum(quotes - 1, 0)] == BACKSLASH) & (quotes > 0)) if len(quotes) else quotes
+    if len(behind):
+        escaped = np.zeros(len(quotes), bool)
+        row_start = offsets[np.searchsorted(offsets, quotes[behind], "right") - 1]
+        place = quotes[behind] - 1
+        while len(behind):
+            more = (place >= row_start) & (data[np.maximum(place, 0)] == BACKSLASH)
+            behind, row_start, place = behind[more], row_start[more], place[more] - 1
+            escaped[behind] ^= True
+        quotes = quotes[~escaped]
     braces = np.flatnonzero(data == OPEN)
     n = len(offsets) - 1
     row = lambda places: np.searchsorted(offsets, places, "right") - 1
@@ -112,8 +120,8 @@ def _summed(batches):
         # Begun inside or outside a string, a range so far has left the state ``odd`` further.
         ends = [run.states(first ^ odd, 0) for first in (0, 1)]
         changes = [int(changes[first] + ends[first][1][-1]) for first in (0, 1)]
-        size = sum(map(len, run.values)) + len(run.values)
-        total = (int(ends[0][0][-1]), *changes, n_bytes + size, _only_between(run.values[-1]))
+        size = pc.sum(pc.binary_length(run.values)).as_py() + len(run.values)
+        total = (int(ends[0][0][-1]), *changes, n_bytes + size, _only_between(run.values[-1].as_py()))
     if key:
         yield row(key, total)
 
@@ -138,7 +146,7 @@ def _cut(states, fragments: bool):
         """The range's records (True) and pieces, as (whole, tail, text)."""
         inside, depth, pending, whole = first.inside, first.depth, [], not (first.inside or first.depth)
         for run, is_last in runs:
-            values, (after, depths) = run.values, run.states(inside, depth)
+            values, (after, depths) = run.values.to_pylist(), run.states(inside, depth)
             if is_last and first.last:
                 values, after, depths = values[:-1], after[:-1], depths[:-1]
             if len(values):

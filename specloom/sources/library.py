@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from specloom.functions import peaks as P
@@ -77,9 +78,9 @@ def _as_array(batches):
     before = "["
     for batch in batches:
         if batch.num_rows:
-            texts = [(before if k == 0 else ",") + text for k, text in enumerate(batch.column("value").to_pylist())]
+            marks = pa.array([before, *[","] * (batch.num_rows - 1)])
             before = ","
-            yield pa.RecordBatch.from_arrays([pa.array(texts)], ["value"])
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column("value"), "")], ["value"])
     yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
 
 

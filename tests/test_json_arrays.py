@@ -3,10 +3,14 @@
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from checks import tables
+from checks.queries import REGISTRY
 from specloom.schema import RAW_KEYS
-from specloom.sources import library
+from specloom.sources import json_arrays, library
 from specloom.sources.json_arrays import record_texts
 from tests.helpers import raw
 
@@ -88,3 +92,32 @@ def test_library_as_arrays_over_many_lines(spark, tmp_path, small_ranges):
         library.read_library_json(spark, str(tmp_path / "less.json"), layout="any").collect()
     with pytest.raises(ValueError, match="layout"):
         library.read_library_json(spark, "x", layout="array")
+
+
+def test_backslashes_before_quotes_are_counted_back_to_the_row_only(spark):
+    """Against a scan of every byte; a long run of backslashes costs no array of its own."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    rows = ["".join(rng.choice(list('"\\{a'), rng.integers(0, 9))) for _ in range(400)] + ["\\" * 7 + '"{', '"', "", '\\"{']
+    odd, opened = json_arrays._scanned(pa.array(rows))
+    for row, o, (outside, inside) in zip(rows, odd, opened):
+        quotes, braces, run = 0, [0, 0], 0
+        for c in row:
+            quotes += c == '"' and run % 2 == 0
+            braces[quotes % 2] += c == "{"
+            run = run + 1 if c == "\\" else 0
+        assert (o, outside, inside) == (quotes % 2, *braces)
+    text = pa.array(['{"a": "' + "x" * 1000 + '\\"", '] * 4000)
+    tracemalloc.start()
+    json_arrays._scanned(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * text.nbytes
+
+
+def test_the_arrays_are_written_without_a_stored_library(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_stored", {})
+    found = REGISTRY["read_library_json_arrays"](spark, "/root/testdata/sf0.001")
+    assert found.count() == tables.table(spark, "/root/testdata/sf0.001", "orders").count()
+    assert not tables._stored
