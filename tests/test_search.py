@@ -370,3 +370,10 @@ def test_few_queries_go_to_the_references(spark, mz_range):
     want = sorted((q[0], r[0]) for q in number for r in number if in_window(q, r, mz_range))
     nan = rows[1][0]
     assert got == many == sorted([*want, (nan, nan)])
+
+
+def test_the_whole_library_is_searched_without_its_metadata(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_stored", {})
+    assert REGISTRY["spec2vec_search"](spark, "/root/testdata/sf0.001").count() > 0
+    names = {name for _, _, name in tables._stored}
+    assert "peak-spectra" in names and not names & {"spectra", "raw"}
